@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfscout.functions.cleaning import trimmed
@@ -12,11 +10,11 @@ from shelfscout.policy import CategoryPolicy
 
 
 def category_name(c: Column | str) -> Column:
+    """The spelling the lists are written in."""
     return F.upper(trimmed(c))
 
 
-def category_group(c: Column | str, policy: CategoryPolicy) -> Column:
-    name = category_name(c)
+def category_group(name: Column, policy: CategoryPolicy) -> Column:
     return (
         F.when(name.isin(*policy.premium), policy.premium_group)
         .when(name.isin(*policy.other), policy.other_group)
@@ -24,11 +22,23 @@ def category_group(c: Column | str, policy: CategoryPolicy) -> Column:
     )
 
 
-def category_detail(c: Column | str, policy: CategoryPolicy) -> Column:
+def category_detail(name: Column, policy: CategoryPolicy) -> Column:
     """The listed name with aliases collapsed, NULL for anything not listed."""
-    name = category_name(c)
-    listed = F.when(name.isin(*policy.listed), name)
-    if not policy.aliases:
-        return listed
-    renames = F.create_map(*[F.lit(text) for text in chain(*policy.aliases.items())])
-    return F.coalesce(F.try_element_at(renames, listed), listed)
+    plain = [listed for listed in policy.listed if listed not in policy.aliases]
+    detail = F.when(name.isin(*plain), name)
+    for alias, kept in policy.aliases.items():
+        detail = detail.when(name == alias, kept)
+    return detail
+
+
+def classify(df: DataFrame, policy: CategoryPolicy, column: str = "category_name") -> DataFrame:
+    """Adds ``cat_group`` and ``gin_category``. The name is normalised once per
+    row, in a projection of its own, and both columns read that."""
+    name = F.col("_category")
+    return (
+        df.withColumn("_category", category_name(column))
+        .withColumns(
+            {"cat_group": category_group(name, policy), "gin_category": category_detail(name, policy)}
+        )
+        .drop("_category")
+    )

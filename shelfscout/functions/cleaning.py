@@ -87,6 +87,13 @@ def row_fingerprint(columns: list[str]) -> Column:
     return F.struct(*[clean_string(name).alias(name) for name in columns])
 
 
+def text_hash(columns: list[str]) -> Column:
+    """A short stand-in for a row of raw texts: equal texts, equal hash. Missing
+    and empty differ, and the separator keeps neighbours apart."""
+    texts = [F.coalesce(F.col(c), F.lit("\x1e")) for c in columns]
+    return F.md5(F.concat_ws("\x1f", *texts))
+
+
 def stored_fingerprint(columns: list[str]) -> Column:
     """The same comparison as text, for keeping in a table."""
     return F.sha2(F.to_json(row_fingerprint(columns), {"ignoreNullFields": "false"}), 256)

@@ -6,21 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: list[str], newest: str) -> DataFrame:
-    """One row per key: the newest, ties broken by all other columns in order.
+def latest_per_key(
+    df: DataFrame, keys: list[str], newest: str, then: list[Column]
+) -> DataFrame:
+    """One row per key: the newest, ties broken by ``then``, which has to be total.
 
-    Ties are real (one load stamp per file), so without the extra columns two
-    runs could keep different rows. Spark keeps one row per key and map task
-    before the shuffle, so a hot key never travels whole.
+    Ties are real (one load stamp per file), so without it two runs could keep
+    different rows.
     """
-    rest = [c for c in df.columns if c not in keys and c != newest]
-    order = [F.col(newest).desc(), *[F.col(c).asc() for c in rest]]
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_pick", F.row_number().over(window)).where("_pick = 1").drop("_pick")
+    return first_per_key(df, keys, [F.col(newest).desc(), *then])
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key: the first in ``order``, which has to be total."""
+    """One row per key: the first in ``order``, which has to be total.
+
+    Spark keeps one row per key and map task before the shuffle, so a hot key
+    never travels whole.
+    """
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_pick", F.row_number().over(window)).where("_pick = 1").drop("_pick")
 

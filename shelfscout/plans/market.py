@@ -5,15 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscout.functions.categories import category_detail, category_group, category_name
+from shelfscout.functions.categories import category_name, classify
 from shelfscout.functions.scoring import safe_ratio
 from shelfscout.policy import CategoryPolicy, TargetingPolicy
 
 STORE_ATTRIBUTES = ["store_name", "address", "city", "county"]
 ROLLUP_KEYS = ["store_number", "year", "cat_group", "gin_category"]
-# Exact sums: with doubles the total would depend on the order of the rows.
-DOLLARS = "decimal(18,2)"
-LITERS = "decimal(18,3)"
+ROLLUP_SUMS = [
+    "net_sale_dollars",
+    "gross_sale_dollars",
+    "returns_dollars",
+    "net_volume_liters",
+    "net_bottles",
+    "return_lines",
+    "order_lines",
+]
+# Sums are exact: with doubles the total would depend on the order of the rows.
+# Lines count in cents and millilitres as whole numbers, which the hash aggregate
+# adds in place; wide decimals would make an object per line.
+DOLLARS = "decimal(28,2)"
+LITERS = "decimal(28,3)"
+
+
+def _fixed(c: str, digits: int) -> Column:
+    """An amount as a whole number of its smallest unit."""
+    return F.rint(F.col(c).cast("double") * 10**digits).cast("bigint")
+
+
+def _amount(total: str, kind: str, digits: int) -> Column:
+    return (F.col(total).cast("decimal(28,0)") / F.lit(10**digits)).cast(kind).alias(total)
 
 
 def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
@@ -23,45 +43,31 @@ def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
     attributes drift slowly, so this is the reduction that matters, done by hash
     aggregation and combined before the shuffle (a hot store shrinks in every
     task). The second folds attribute variants into the latest one, on the
-    already small result.
+    already small result, shuffled by store alone: variants of one group sit
+    apart after the first step, so combining them before the shuffle would gain
+    nothing, and the output ends up laid out by the join key.
     """
     units = F.col("bottles_sold")
-    dollars = F.col("sale_dollars").cast(DOLLARS)
-    lines = sales.where(F.col("date") >= F.lit(policy.sales_start).cast("date")).select(
-        "store_number",
-        *STORE_ATTRIBUTES,
-        "date",
-        F.year("date").alias("year"),
-        category_group("category_name", policy.categories).alias("cat_group"),
-        category_detail("category_name", policy.categories).alias("gin_category"),
-        dollars.alias("net"),
-        F.when(units > 0, dollars).otherwise(F.lit(0).cast(DOLLARS)).alias("gross"),
-        F.when(units < 0, dollars).otherwise(F.lit(0).cast(DOLLARS)).alias("returned"),
-        F.col("volume_sold_liters").cast(LITERS).alias("liters"),
-        units.cast("bigint").alias("bottles"),
+    cents = F.col("_cents")
+    in_range = sales.where(F.col("date") >= F.lit(policy.sales_start).cast("date"))
+    lines = classify(in_range, policy.categories).withColumns(
+        {"year": F.year("date"), "_cents": _fixed("sale_dollars", 2)}
     )
     variants = lines.groupBy(*ROLLUP_KEYS, *STORE_ATTRIBUTES).agg(
-        F.sum("net").alias("net_sale_dollars"),
-        F.sum("gross").alias("gross_sale_dollars"),
-        F.sum("returned").alias("returns_dollars"),
-        F.sum("liters").alias("net_volume_liters"),
-        F.sum("bottles").alias("net_bottles"),
-        F.count_if(F.col("bottles") < 0).alias("return_lines"),
+        F.sum(cents).alias("net_sale_dollars"),
+        F.sum(F.when(units > 0, cents).otherwise(F.lit(0))).alias("gross_sale_dollars"),
+        F.sum(F.when(units < 0, cents).otherwise(F.lit(0))).alias("returns_dollars"),
+        F.sum(_fixed("volume_sold_liters", 3)).alias("net_volume_liters"),
+        F.sum(units.cast("bigint")).alias("net_bottles"),
+        F.count_if(units < 0).alias("return_lines"),
         F.count(F.lit(1)).alias("order_lines"),
         F.max("date").alias("last_purchase_date"),
     )
-    measures = [
-        "net_sale_dollars",
-        "gross_sale_dollars",
-        "returns_dollars",
-        "net_volume_liters",
-        "net_bottles",
-        "return_lines",
-        "order_lines",
-    ]
     newest = F.max(F.struct("last_purchase_date", *STORE_ATTRIBUTES)).alias("_newest")
-    folded = variants.groupBy(*ROLLUP_KEYS).agg(
-        newest, *[F.sum(m).alias(m) for m in measures]
+    folded = (
+        variants.repartition("store_number")
+        .groupBy(*ROLLUP_KEYS)
+        .agg(newest, *[F.sum(m).alias(m) for m in ROLLUP_SUMS])
     )
     return folded.select(
         "store_number",
@@ -69,7 +75,9 @@ def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
         "year",
         "cat_group",
         "gin_category",
-        *measures,
+        *[_amount(m, DOLLARS, 2) for m in ROLLUP_SUMS[:3]],
+        _amount("net_volume_liters", LITERS, 3),
+        *ROLLUP_SUMS[4:],
         F.col("_newest.last_purchase_date").alias("last_purchase_date"),
     )
 
@@ -129,12 +137,7 @@ def category_list(sales: DataFrame) -> DataFrame:
 def category_classify(sales: DataFrame, policy: CategoryPolicy) -> DataFrame:
     """How each raw name is read. Names are grouped first, so the lists are
     consulted once per name and not once per line."""
-    return category_list(sales).select(
-        "category_name",
-        "line_count",
-        category_group("category_name", policy).alias("cat_group"),
-        category_detail("category_name", policy).alias("gin_category"),
-    )
+    return classify(category_list(sales), policy)
 
 
 def category_audit(sales: DataFrame, policy: CategoryPolicy, text: str) -> DataFrame:

@@ -13,11 +13,12 @@ from shelfscout.functions.cleaning import (
     parse_iso,
     parse_money,
     stage_group,
+    text_hash,
     trimmed,
 )
 from shelfscout.operators.latest import latest_per_key
 
-GRAIN_TAIL = ["snapshot_date", "_source_file", "_loaded_at"]
+LINEAGE_COLUMNS = ["snapshot_date", "_source_file", "_loaded_at"]
 
 ACCOUNT_TEXT = [
     "account_id",
@@ -61,37 +62,47 @@ def _money(feed: str) -> list[Column]:
     return [parse_money(name).alias(name) for name in MONEY_COLUMNS[feed]]
 
 
+def one_per_night(raw: DataFrame, key: str) -> DataFrame:
+    """One raw row per cleaned key and night: the last loaded.
+
+    Runs before anything is parsed, and a hash of the raw row settles ties: the
+    shuffle then carries only the columns a later step reads, and the sort
+    compares one short text instead of every column.
+    """
+    texts = sorted(c for c in raw.columns if c not in ("snapshot_date", "_loaded_at"))
+    keyed = raw.withColumns({"_key": clean_string(key), "_tie": text_hash(texts)})
+    grain = ["_key", "snapshot_date"]
+    return latest_per_key(keyed, grain, "_loaded_at", [F.col("_tie")]).drop("_key", "_tie")
+
+
 def stage_accounts(raw: DataFrame) -> DataFrame:
     """One row per account and night. Some accounts are listed twice every night."""
-    typed = raw.select(
-        *_text(ACCOUNT_TEXT), *_dates("accounts"), *_money("accounts"), *GRAIN_TAIL
+    return one_per_night(raw, "account_id").select(
+        *_text(ACCOUNT_TEXT), *_dates("accounts"), *_money("accounts"), *LINEAGE_COLUMNS
     )
-    return latest_per_key(typed, ["account_id", "snapshot_date"], "_loaded_at")
 
 
 def stage_contacts(raw: DataFrame) -> DataFrame:
     """One row per contact and night. E-mail is lower-cased for matching; names keep their case."""
-    typed = raw.select(
+    return one_per_night(raw, "contact_id").select(
         *_text(CONTACT_TEXT),
         F.lower(clean_string("email")).alias("email"),
         *_text(["phone", "linkedin_url"]),
         full_name("first_name", "last_name").alias("full_name"),
-        *GRAIN_TAIL,
+        *LINEAGE_COLUMNS,
     )
-    return latest_per_key(typed, ["contact_id", "snapshot_date"], "_loaded_at")
 
 
 def stage_opportunities(raw: DataFrame) -> DataFrame:
     """One row per opportunity and night, with the stage collapsed to won, lost or open."""
-    typed = raw.select(
+    return one_per_night(raw, "opportunity_id").select(
         *_text(OPPORTUNITY_TEXT),
         clean_string("type").alias("opportunity_type"),
         *_dates("opportunities"),
         *_money("opportunities"),
         stage_group("stage").alias("stage_group"),
-        *GRAIN_TAIL,
+        *LINEAGE_COLUMNS,
     )
-    return latest_per_key(typed, ["opportunity_id", "snapshot_date"], "_loaded_at")
 
 
 def stage_products(raw: DataFrame) -> DataFrame:

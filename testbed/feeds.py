@@ -17,16 +17,26 @@ layouts, padding, disagreeing duplicates, keys that lead nowhere.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfscout.policy import CategoryPolicy, TargetingPolicy
 
 TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
 
-# What the two engines spell differently: one generator and the name of the text type.
+# What the two engines spell differently: the text type, a generator, grouped digits.
 DIALECT = {
-    "spark": {"each": "explode(array({0}))", "text": "string"},
-    "duckdb": {"each": "unnest([{0}])", "text": "varchar"},
+    "spark": {
+        "text": "string",
+        "each": "explode(array({0}))",
+        "grouped": "format_number({0}, 2)",
+    },
+    "duckdb": {
+        "text": "varchar",
+        "each": "unnest([{0}])",
+        "grouped": "format('{{:,.2f}}', {0})",
+    },
 }
 
 POLICY = TargetingPolicy(
@@ -50,11 +60,7 @@ def _dmy(day: str) -> str:
 
 
 def _gbp(amount: str) -> str:
-    """Thousands separator for amounts below a million."""
-    return (
-        f"'GBP ' || cast(cast(floor({amount} / 1000) as bigint) as @text) || ',' || "
-        f"lpad(cast(cast({amount} % 1000 as decimal(18,2)) as @text), 6, '0')"
-    )
+    return f"'GBP ' || @grouped({amount})"
 
 
 SALES = """
@@ -65,13 +71,13 @@ select cast(l_suppkey as @text) || '-' || split_part(p_brand, '#', 2) as store_n
        case when l_returnflag = 'N' then null else 'county ' || l_returnflag end as county,
        cast(l_shipdate as date) as date,
        case when p_size = 7 then null else ' ' || lower(p_type) || ' ' end as category_name,
-       case when l_returnflag = 'R' and l_linestatus = 'F' then -1 else 1 end
-         * cast(l_extendedprice as decimal(18,2)) as sale_dollars,
-       case when l_returnflag = 'R' and l_linestatus = 'F' then -1
-            when l_returnflag = 'N' and l_linestatus = 'F' and l_quantity = 50 then 0
-            else 1 end * cast(l_quantity as int) as bottles_sold,
-       cast(case when l_returnflag = 'R' and l_linestatus = 'F' then -0.75 else 0.75 end
-         * cast(l_quantity as int) as decimal(18,3)) as volume_sold_liters
+       case when l_returnflag = 'R' and l_linestatus = 'F' then -l_extendedprice
+            else l_extendedprice end as sale_dollars,
+       cast(case when l_returnflag = 'R' and l_linestatus = 'F' then -l_quantity
+                 when l_returnflag = 'N' and l_linestatus = 'F' and l_quantity = 50 then 0
+                 else l_quantity end as int) as bottles_sold,
+       cast(0.75 as double) * case when l_returnflag = 'R' and l_linestatus = 'F' then -l_quantity
+                                   else l_quantity end as volume_sold_liters
 from @lineitem join @part on l_partkey = p_partkey
 """
 
@@ -107,7 +113,7 @@ select case when listing = 3 then id || ' ' else id end as account_id,
             else cast(since + 30 as @text) end as last_activity_date,
        cast(since as @text) as created_date,
        case when balance < 0 then '' when nation = 11 then 'n/a'
-            else {_gbp('cast(balance as decimal(18,2))')} end as annual_target_gbp,
+            else {_gbp('balance')} end as annual_target_gbp,
        case when listing = 1 then cast('2024-01-29' as date)
             else cast('2024-01-30' as date) end as snapshot_date,
        case when listing = 1 then 'crm_accounts_2024-01-29.csv'
@@ -157,7 +163,7 @@ select 'O' || cast(o_orderkey as @text) as opportunity_id,
        case when o_orderpriority = '5-LOW' and o_orderstatus = 'F' then ''
             when o_orderpriority = '5-LOW' and o_orderstatus = 'O' then 'n/a'
             when o_orderpriority = '3-MEDIUM' then chr(9) || ' GBP ' || cast(price as @text) || ' '
-            else {_gbp('price')} end as value_gbp,
+            else {_gbp('o_totalprice')} end as value_gbp,
        case when night = 1 then cast('2024-01-29' as date)
             else cast('2024-01-30' as date) end as snapshot_date,
        case when night = 1 then 'crm_opportunities_2024-01-29.csv'
@@ -197,10 +203,8 @@ def feed_sql(name: str, engine: str) -> str:
     """A feed in one engine's spelling; Spark tables come as ``{table}`` slots."""
     words = DIALECT[engine]
     text = FEEDS[name].replace("@text", words["text"])
-    before, generator, after = text.partition("@each(")
-    if generator:
-        items, _, after = after.partition(")")
-        text = before + words["each"].format(items) + after
+    for word in ("each", "grouped"):
+        text = re.sub(rf"@{word}\(([^()]*)\)", lambda m: words[word].format(m[1]), text)
     for table in TABLES:
         text = text.replace(f"@{table}", f"{{{table}}}" if engine == "spark" else table)
     return text.strip()

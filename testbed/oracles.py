@@ -59,22 +59,12 @@ DETAIL = (
     f"case when {NAME} = 'MEDIUM' then 'LARGE' when {NAME} in ({LISTED}) then {NAME} end"
 )
 
-ACCOUNT_FIELDS = (
-    "account_name, city, address, store_number, segment, account_owner, status, "
-    "contract_start_date, last_activity_date, created_date, annual_target_gbp, _source_file"
-)
-OPPORTUNITY_FIELDS = (
-    "account_id, product_sku, stage, owner, opportunity_type, expected_close_date, closed_date, "
-    "last_activity_date, created_date, value_gbp, stage_group, _source_file"
-)
-
-
-def _dedup(source: str, keys: str, rest: str, newest: str = "_loaded_at") -> str:
-    tail = ", ".join(f"{c.strip()} asc nulls first" for c in rest.split(","))
-    return (
-        f"select * from {source} qualify row_number() over "
-        f"(partition by {keys} order by {newest} desc, {tail}) = 1"
-    )
+def _dedup(source: str, key: str, fields: str) -> str:
+    """One raw row per cleaned key and night; a hash of all its texts settles ties."""
+    texts = ", ".join(f"coalesce({c}, chr(30))" for c in sorted(fields.split()))
+    return f"""select * from {source} qualify row_number() over (
+        partition by {_clean(key)}, snapshot_date
+        order by _loaded_at desc, md5(concat_ws(chr(31), {texts}))) = 1"""
 
 
 def _mart_ctes(suffix: str, policy) -> dict[str, str]:
@@ -138,7 +128,10 @@ def _mart_ctes(suffix: str, policy) -> dict[str, str]:
 CTES: dict[str, str] = {
     **{f"{name}_raw": feed_sql(name, "duckdb") for name in (
         "sales", "accounts", "contacts", "opportunities", "products", "snapshots")},
-    "accounts_typed": f"""
+    "accounts_picked": _dedup("accounts_raw", "account_id", """
+        account_id account_name city address store_number segment account_owner status
+        contract_start_date last_activity_date created_date annual_target_gbp _source_file"""),
+    "accounts": f"""
         select {_clean('account_id')} as account_id, {_clean('account_name')} as account_name,
           {_clean('city')} as city, {_clean('address')} as address,
           {_clean('store_number')} as store_number, {_clean('segment')} as segment,
@@ -148,8 +141,7 @@ CTES: dict[str, str] = {
           {_date('created_date', 'iso')} as created_date,
           {_money('annual_target_gbp')} as annual_target_gbp,
           snapshot_date, _source_file, _loaded_at
-        from accounts_raw""",
-    "accounts": _dedup("accounts_typed", "account_id, snapshot_date", ACCOUNT_FIELDS),
+        from accounts_picked""",
     "opportunities": f"""
         select {_clean('opportunity_id')} as opportunity_id, {_clean('account_id')} as account_id,
           {_clean('product_sku')} as product_sku, {_clean('stage')} as stage,
@@ -179,7 +171,9 @@ CTES: dict[str, str] = {
         from products_raw""",
     "rollup": f"""
         with lines as (
-          select *, year(date) as year, {GROUP} as cat_group, {DETAIL} as gin_category
+          select * replace (cast(sale_dollars as decimal(18,2)) as sale_dollars,
+              cast(volume_sold_liters as decimal(18,3)) as volume_sold_liters),
+            year(date) as year, {GROUP} as cat_group, {DETAIL} as gin_category
           from sales_raw where date >= date '{POLICY.sales_start}'),
         newest as (
           select store_number, year, cat_group, gin_category, store_name, address, city, county
@@ -489,8 +483,9 @@ SQL: dict[str, str] = {
     "stage_products": _sql(f"select * replace ({_texts('launch_date')}) from products"),
     "stage_market": _sql(f"select {ROLLUP_COLUMNS} from rollup"),
     "dedup_snapshots": _sql(f"""
-        select account_id, {_texts('snapshot_date', '_loaded_at')}, status, amount, event_id from (
-          {_dedup('snapshots_raw', 'account_id, snapshot_date', 'status, amount, event_id')})"""),
+        select account_id, {_texts('snapshot_date', '_loaded_at')}, status, amount, event_id
+        from snapshots_raw qualify row_number() over (partition by account_id, snapshot_date
+          order by _loaded_at desc, status, amount, event_id) = 1"""),
     "snapshot_name_parse": _sql("""
         select distinct 'landing/crm_' || status || '_' || snapshot_date
             || case when status = 'error' then '.txt' else '.csv' end as uri,

@@ -45,9 +45,12 @@ class Bed:
 
     def __init__(self, spark: SparkSession, sf_dir: str, policy: TargetingPolicy = POLICY):
         self.spark, self.sf_dir, self.policy = spark, sf_dir, policy
+        self.feeds: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return feed(self.spark, self.sf_dir, name)
+        if name not in self.feeds:
+            self.feeds[name] = feed(self.spark, self.sf_dir, name)
+        return self.feeds[name]
 
     @cached_property
     def accounts_raw(self) -> DataFrame:
@@ -180,7 +183,9 @@ def stage_market(bed: Bed) -> DataFrame:
 
 @query
 def dedup_snapshots(bed: Bed) -> DataFrame:
-    return latest.latest_per_key(bed.raw("snapshots"), ["account_id", "snapshot_date"], "_loaded_at")
+    then = [F.col(c).asc() for c in ("status", "amount", "event_id")]
+    grain = ["account_id", "snapshot_date"]
+    return latest.latest_per_key(bed.raw("snapshots"), grain, "_loaded_at", then)
 
 
 @query
