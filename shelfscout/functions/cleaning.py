@@ -81,19 +81,13 @@ def stage_group(stage: Column | str) -> Column:
     )
 
 
-def row_fingerprint(columns: list[str]) -> Column:
-    """One comparable value per row. NULL is a value here, so two rows agree
-    only if they agree on what is missing too."""
-    return F.struct(*[clean_string(name).alias(name) for name in columns])
-
+def text_hash(*texts: Column) -> Column:
+    """A short stand-in for a row of texts: equal rows, equal hash. NULL is a
+    value here and differs from empty; the separator keeps neighbours apart."""
+    return F.md5(F.concat_ws("\x1f", *[F.coalesce(text, F.lit("\x1e")) for text in texts]))
 
-def text_hash(columns: list[str]) -> Column:
-    """A short stand-in for a row of raw texts: equal texts, equal hash. Missing
-    and empty differ, and the separator keeps neighbours apart."""
-    texts = [F.coalesce(F.col(c), F.lit("\x1e")) for c in columns]
-    return F.md5(F.concat_ws("\x1f", *texts))
 
-
-def stored_fingerprint(columns: list[str]) -> Column:
-    """The same comparison as text, for keeping in a table."""
-    return F.sha2(F.to_json(row_fingerprint(columns), {"ignoreNullFields": "false"}), 256)
+def row_fingerprint(columns: list[str]) -> Column:
+    """The cleaned row as one comparable value: two rows agree only if they
+    agree on what is missing too."""
+    return text_hash(*[clean_string(name) for name in columns])

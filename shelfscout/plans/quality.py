@@ -32,7 +32,7 @@ def duplicates_agree(raw: DataFrame, key: str, facts: list[str]) -> DataFrame:
     """Keys listed more than once on a night with differing facts.
 
     Versions are grouped first, so identical copies of a hot key collapse before
-    anything is counted.
+    anything is counted; only a hash per row is shuffled, not the row.
     """
     versions = raw.groupBy(
         clean_string(key).alias(key), "snapshot_date", row_fingerprint(facts).alias("_facts")

@@ -70,7 +70,7 @@ def one_per_night(raw: DataFrame, key: str) -> DataFrame:
     compares one short text instead of every column.
     """
     texts = sorted(c for c in raw.columns if c not in ("snapshot_date", "_loaded_at"))
-    keyed = raw.withColumns({"_key": clean_string(key), "_tie": text_hash(texts)})
+    keyed = raw.withColumns({"_key": clean_string(key), "_tie": text_hash(*map(F.col, texts))})
     grain = ["_key", "snapshot_date"]
     return latest_per_key(keyed, grain, "_loaded_at", [F.col("_tie")]).drop("_key", "_tie")
 

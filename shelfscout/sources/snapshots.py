@@ -68,14 +68,20 @@ def missing_snapshots(available: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def loaded_snapshots(spark: SparkSession, table: str) -> DataFrame:
-    """Nights in the destination; none if it does not exist yet."""
+    """Nights in the destination; none if it does not exist yet.
+
+    Read from the partition folders: no data file is opened.
+    """
+    night = F.col("snapshot_date").cast("date").alias("snapshot_date")
     try:
-        held = spark.read.parquet(table)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(table)
     except AnalysisException as problem:
-        if problem.getCondition() in NO_TABLE:
-            return spark.range(0).select(F.lit(None).cast("date").alias("snapshot_date"))
-        raise
-    return held.select(F.col("snapshot_date").cast("date")).distinct()
+        if problem.getCondition() not in NO_TABLE:
+            raise
+        files = None
+    if files is None or "snapshot_date" not in files.columns:
+        return spark.range(0).select(F.lit(None).cast("date").alias("snapshot_date"))
+    return files.select(night).distinct()
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
