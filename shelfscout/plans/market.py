@@ -43,9 +43,8 @@ def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
     attributes drift slowly, so this is the reduction that matters, done by hash
     aggregation and combined before the shuffle (a hot store shrinks in every
     task). The second folds attribute variants into the latest one, on the
-    already small result, shuffled by store alone: variants of one group sit
-    apart after the first step, so combining them before the shuffle would gain
-    nothing, and the output ends up laid out by the join key.
+    already small result, again combined before its shuffle, so that even a store
+    whose name changes on every line cannot flood one task.
     """
     units = F.col("bottles_sold")
     cents = F.col("_cents")
@@ -64,10 +63,8 @@ def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
         F.max("date").alias("last_purchase_date"),
     )
     newest = F.max(F.struct("last_purchase_date", *STORE_ATTRIBUTES)).alias("_newest")
-    folded = (
-        variants.repartition("store_number")
-        .groupBy(*ROLLUP_KEYS)
-        .agg(newest, *[F.sum(m).alias(m) for m in ROLLUP_SUMS])
+    folded = variants.groupBy(*ROLLUP_KEYS).agg(
+        newest, *[F.sum(m).alias(m) for m in ROLLUP_SUMS]
     )
     return folded.select(
         "store_number",

@@ -20,12 +20,20 @@ def replace_table(spark: SparkSession, path: str, table: str) -> None:
 
 
 def build_table(
-    spark: SparkSession, build: Callable[[], DataFrame], table: str, force: bool = False
+    spark: SparkSession,
+    build: Callable[[], DataFrame],
+    table: str,
+    force: bool = False,
+    key: str | None = None,
 ) -> bool:
-    """Build a derived table unless it exists; True if it was built."""
+    """Build a derived table unless it exists; True if it was built. With a
+    ``key`` it is laid out for joins on that key."""
     if spark.catalog.tableExists(table) and not force:
         return False
-    build().write.mode("overwrite").saveAsTable(table)
+    if key:
+        write_clustered(build(), table, key)
+    else:
+        build().write.mode("overwrite").saveAsTable(table)
     return True
 
 
