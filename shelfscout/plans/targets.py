@@ -125,7 +125,8 @@ def rank(scored: DataFrame, policy: TargetingPolicy) -> DataFrame:
 def scored_accounts(
     accounts: DataFrame, market: DataFrame, contacts: DataFrame, policy: TargetingPolicy
 ) -> DataFrame:
-    """Everything but the rank."""
+    """Everything but the rank. Contacts join first: accounts arrive laid out by
+    account from the opportunity join, so this one needs no shuffle of them."""
     universe = eligible(accounts, policy).withColumnsRenamed(
         {
             "segment": "crm_segment",
@@ -134,7 +135,8 @@ def scored_accounts(
         }
     )
     people = contacts.select("account_id", *CONTACT_COLUMNS)
-    return score(match_market(universe, market).join(people, "account_id", "left"), policy)
+    reachable = universe.join(people, "account_id", "left")
+    return score(match_market(reachable, market), policy)
 
 
 def target_accounts(

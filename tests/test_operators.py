@@ -87,6 +87,38 @@ def test_hollow_keys_are_spread_over_tasks(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_a_hot_real_key_is_split(spark):
+    """Thresholds lowered to test size; a third of the rows share one store."""
+    lowered = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in lowered}
+    for name, value in lowered.items():
+        spark.conf.set(name, value)
+    try:
+        number = F.col("id").cast("string")
+        left = spark.range(200000).select(
+            F.sha2(number, 256).alias("id"),
+            F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, number).alias("k"),
+        )
+        right = spark.range(1000).select(
+            F.when(F.col("id") == 0, "hot").otherwise(number).alias("k"), F.sha2(number, 256).alias("v")
+        )
+        joined = left_join_hollow_key(left, right, "k", "id")
+        found = {r.k: r["count"] for r in joined.where("v is not null").groupBy("k").count().collect()}
+        assert found["hot"] == 66667
+        assert len(found) == 1 + 333
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_missing_from_ignores_missing_keys(spark):
     left, right = hollow(spark)
     assert rows(missing_from(left, "k", right, "k").select("id", "k")) == [("f", "9")]
