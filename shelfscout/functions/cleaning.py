@@ -57,9 +57,6 @@ def parse_iso(c: Column | str) -> Column:
     return F.try_to_date(clean_string(c), "yyyy-M-d")
 
 
-DATE_PARSERS = {"dmy": parse_dmy, "iso": parse_iso}
-
-
 def normalise_key(c: Column | str) -> Column:
     """Join keys are text on both sides, whatever type the source used."""
     return clean_string(_col(c).cast("string"))

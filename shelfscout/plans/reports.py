@@ -104,6 +104,11 @@ def on_list() -> Column:
     return F.col("is_top_target")
 
 
+def overview(mart: DataFrame) -> DataFrame:
+    """How many accounts are ranked, and as of which night."""
+    return mart.agg(_accounts(), F.max("crm_as_of_date").alias("as_of"))
+
+
 def call_sheet(mart: DataFrame) -> DataFrame:
     """The list as a rep reads it."""
     return (
@@ -259,6 +264,8 @@ def unmatched_summary(mart: DataFrame) -> DataFrame:
     sums = mart.agg(
         F.count_if(unmatched).alias("unmatched"),
         _accounts(),
-        F.sum(F.when(unmatched, F.col("open_pipeline_gbp"))).alias("unmatched_pipeline_gbp"),
+        F.coalesce(F.sum(F.when(unmatched, F.col("open_pipeline_gbp"))), F.lit(0)).alias(
+            "unmatched_pipeline_gbp"
+        ),
     )
     return sums.withColumn("unmatched_pct", safe_ratio("unmatched", "accounts") * 100)

@@ -37,17 +37,17 @@ PRODUCT_TYPED = ["bottle_size_cl", "abv_pct", "list_price_gbp", "pack_size", "la
 
 # Date columns of each raw feed with the one format they are held to.
 DATE_FORMATS = {
-    "accounts": {"contract_start_date": "dmy", "last_activity_date": "iso", "created_date": "iso"},
+    "accounts": {"contract_start_date": "uk", "last_activity_date": "iso", "created_date": "iso"},
     "opportunities": {
-        "expected_close_date": "dmy",
-        "closed_date": "dmy",
+        "expected_close_date": "uk",
+        "closed_date": "uk",
         "last_activity_date": "iso",
         "created_date": "iso",
     },
 }
 MONEY_COLUMNS = {"accounts": ["annual_target_gbp"], "opportunities": ["value_gbp"]}
 
-PARSERS = {"dmy": parse_dmy, "iso": parse_iso}
+PARSERS = {"uk": parse_dmy, "iso": parse_iso}
 
 
 def _text(names: list[str]) -> list[Column]:

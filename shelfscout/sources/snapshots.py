@@ -22,6 +22,8 @@ NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 # Fixed value: layout of an export file name.
 SNAPSHOT_FILE = r"^crm_(\w+)_(\d{4}-\d{2}-\d{2})\.csv$"
 FEEDS = ("accounts", "contacts", "opportunities")
+# Up to this size a file is one task's work anyway.
+WHOLE_FILE_BYTES = 128 * 1024**2
 LINEAGE = ("snapshot_date", "_source_file", "_loaded_at")
 
 
@@ -94,18 +96,29 @@ def raw_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_snapshot_csv(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+def has_broken_lines(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether some quoted value holds a line break: then a line exists whose
+    quotes do not pair up. Reads the files as plain lines, in splits."""
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    return not spark.read.text(paths).where(quotes % 2 == 1).isEmpty()
+
+
+def read_snapshot_csv(
+    spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool = True
+) -> DataFrame:
     """All files in one scan, values untouched.
 
     ``enforceSchema=False`` compares every file's header with ``columns``, names
     and order; by default Spark would silently swap reordered columns. A row with
-    too few or too many fields fails the load rather than losing a value.
+    too few or too many fields fails the load rather than losing a value. With
+    ``multi_line`` a file is read by one task, without it in splits.
     """
     return (
         spark.read.schema(raw_schema(columns))
         .option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -149,11 +162,15 @@ def reconcile(spark: SparkSession, table: str, nights: list[dt.date], sent: int)
         raise SnapshotError(f"{table}: sent {sent:,} rows, the destination holds {landed:,}")
 
 
-def sync_feed(spark: SparkSession, root: str, feed: str, table: str) -> int:
+def sync_feed(
+    spark: SparkSession, root: str, feed: str, table: str, whole_file_bytes: int = WHOLE_FILE_BYTES
+) -> int:
     """Load the nights of one feed that ``table`` lacks; returns how many.
 
     One job for the whole gap. Only nights and paths reach the driver. The write
-    replaces whole nights, so repeating a broken run cannot duplicate rows.
+    replaces whole nights, so repeating a broken run cannot duplicate rows. Files
+    above ``whole_file_bytes`` are read in splits, unless a quick pass finds line
+    breaks inside values.
     """
     offered = list_snapshots(spark, root, feed)
     gap = missing_snapshots(offered, loaded_snapshots(spark, table)).collect()
@@ -165,7 +182,9 @@ def sync_feed(spark: SparkSession, root: str, feed: str, table: str) -> int:
     columns = header_of(spark, paths[0])
     check_destination_columns(spark, table, columns)
     sent = Observation()
-    rows = with_lineage(read_snapshot_csv(spark, paths, columns))
+    small = max(row.length for row in gap) <= whole_file_bytes
+    multi_line = small or has_broken_lines(spark, paths)
+    rows = with_lineage(read_snapshot_csv(spark, paths, columns, multi_line))
     (
         rows.observe(sent, F.count(F.lit(1)).alias("row_count"))
         .write.mode("overwrite")

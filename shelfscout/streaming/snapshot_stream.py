@@ -12,13 +12,16 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfscout.sources.snapshots import raw_schema, with_lineage
 
 
-def snapshot_stream(spark: SparkSession, root: str, feed: str, columns: list[str]) -> DataFrame:
-    """New files of one feed, all text, with lineage."""
+def snapshot_stream(
+    spark: SparkSession, root: str, feed: str, columns: list[str], multi_line: bool = True
+) -> DataFrame:
+    """New files of one feed, all text, with lineage. Switch ``multi_line`` off for
+    huge files whose values hold no line breaks: they are then read in splits."""
     files = (
         spark.readStream.schema(raw_schema(columns))
         .option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("mode", "FAILFAST")
         .option("pathGlobFilter", f"crm_{feed}_*.csv")

@@ -24,7 +24,7 @@ def _money(c: str) -> str:
 
 
 def _date(c: str, layout: str) -> str:
-    pattern = {"dmy": "%d/%m/%Y", "iso": "%Y-%m-%d"}[layout]
+    pattern = {"uk": "%d/%m/%Y", "iso": "%Y-%m-%d"}[layout]
     return f"cast(try_strptime({_clean(c)}, '{pattern}') as date)"
 
 
@@ -136,7 +136,7 @@ CTES: dict[str, str] = {
           {_clean('city')} as city, {_clean('address')} as address,
           {_clean('store_number')} as store_number, {_clean('segment')} as segment,
           {_clean('account_owner')} as account_owner, {_clean('status')} as status,
-          {_date('contract_start_date', 'dmy')} as contract_start_date,
+          {_date('contract_start_date', 'uk')} as contract_start_date,
           {_date('last_activity_date', 'iso')} as last_activity_date,
           {_date('created_date', 'iso')} as created_date,
           {_money('annual_target_gbp')} as annual_target_gbp,
@@ -146,8 +146,8 @@ CTES: dict[str, str] = {
         select {_clean('opportunity_id')} as opportunity_id, {_clean('account_id')} as account_id,
           {_clean('product_sku')} as product_sku, {_clean('stage')} as stage,
           {_clean('owner')} as owner, {_clean('type')} as opportunity_type,
-          {_date('expected_close_date', 'dmy')} as expected_close_date,
-          {_date('closed_date', 'dmy')} as closed_date,
+          {_date('expected_close_date', 'uk')} as expected_close_date,
+          {_date('closed_date', 'uk')} as closed_date,
           {_date('last_activity_date', 'iso')} as last_activity_date,
           {_date('created_date', 'iso')} as created_date, {_money('value_gbp')} as value_gbp,
           case {_clean('stage')} when 'Closed Won' then 'won' when 'Closed Lost' then 'lost'
@@ -268,11 +268,11 @@ CTES: dict[str, str] = {
             from {table}_raw
             where {_clean(column)} is not null and {_date(column, layout)} is null"""
         for table, column, layout in (
-            ("accounts", "contract_start_date", "dmy"),
+            ("accounts", "contract_start_date", "uk"),
             ("accounts", "last_activity_date", "iso"),
             ("accounts", "created_date", "iso"),
-            ("opportunities", "expected_close_date", "dmy"),
-            ("opportunities", "closed_date", "dmy"),
+            ("opportunities", "expected_close_date", "uk"),
+            ("opportunities", "closed_date", "uk"),
             ("opportunities", "last_activity_date", "iso"),
             ("opportunities", "created_date", "iso"),
         )
@@ -491,10 +491,10 @@ SQL: dict[str, str] = {
             || case when status = 'error' then '.txt' else '.csv' end as uri,
           case when status <> 'error' then cast(snapshot_date as varchar) end as snapshot_date
         from snapshots_raw"""),
-    "ingest_gap": _sql(f"""
-        select distinct {_texts('snapshot_date')} from snapshots_raw o
-        where not exists (select 1 from snapshots_raw h where h.snapshot_date = o.snapshot_date
-          and h.account_id = 1 and h.status = 'purchase')"""),
+    "ingest_gap": _sql("""
+        select cast(snapshot_date as varchar) as snapshot_date from nights
+        where n < (select avg(n) from nights)""",
+        nights="select snapshot_date, count(*) as n from snapshots_raw group by 1"),
     "snapshot_counts": _sql("""
         select cast(snapshot_date as varchar) as snapshot_date, count(*) as row_count
         from snapshots_raw group by 1"""),
@@ -645,6 +645,8 @@ SQL: dict[str, str] = {
           ({_ratio('l.per_store', 'f.per_store')} - 1) * 100 as per_store_change_pct
         from trend f join trend l on f.cat_group = l.cat_group
         where f.year = {POLICY.trend_years[0]} and l.year = {POLICY.trend_years[-1]}"""),
+    "overview": _sql("""
+        select count(*) as accounts, cast(max(crm_as_of_date) as varchar) as as_of from mart"""),
     "tier_summary": _sql(f"""
         select evidence_tier, evidence_tier_label, count(*) as accounts,
           count(*) filter ({TOP}) as in_top from mart group by 1, 2"""),
@@ -675,7 +677,7 @@ SQL: dict[str, str] = {
         from mart group by 1"""),
     "unmatched_summary": _sql(f"""
         select count(*) filter (not has_market_match) as unmatched, count(*) as accounts,
-          cast(sum(open_pipeline_gbp) filter (not has_market_match) as double)
+          cast(coalesce(sum(open_pipeline_gbp) filter (not has_market_match), 0) as double)
             as unmatched_pipeline_gbp,
           {_ratio('count(*) filter (not has_market_match)', 'count(*)')} * 100 as unmatched_pct
         from mart"""),

@@ -201,11 +201,10 @@ def snapshot_name_parse(bed: Bed) -> DataFrame:
 
 @query
 def ingest_gap(bed: Bed) -> DataFrame:
-    """Nights with an event against nights on which something was purchased by user 1."""
-    events = bed.raw("snapshots")
-    offered = events.select("snapshot_date").distinct()
-    held = events.where("account_id = 1 and status = 'purchase'").select("snapshot_date")
-    return snapshots.missing_snapshots(offered, held)
+    """All nights against those that hold at least the average number of rows."""
+    counts = snapshots.snapshot_counts(bed.raw("snapshots"))
+    full = counts.where(F.col("row_count") >= counts.select(F.avg("row_count")).scalar())
+    return snapshots.missing_snapshots(counts.select("snapshot_date"), full)
 
 
 @query
@@ -425,8 +424,7 @@ def check_demotion(bed: Bed) -> DataFrame:
 def check_suite(bed: Bed) -> DataFrame:
     """All declared checks. Stages read by several checks are written once."""
     bed = bed.written(
-        "accounts_raw", "opportunities_raw", "accounts", "opportunities", "contacts", "market",
-        "stores", "current", "people", "mart",
+        "accounts", "opportunities", "contacts", "market", "stores", "current", "people", "mart"
     )
     models = quality.Models(
         accounts_raw=bed.accounts_raw,
@@ -473,6 +471,11 @@ def market_change(bed: Bed) -> DataFrame:
     return reports.market_change(bed.trend, years[0], years[-1])
 
 
+@query
+def overview(bed: Bed) -> DataFrame:
+    return reports.overview(bed.mart)
+
+
 @query
 def tier_summary(bed: Bed) -> DataFrame:
     return reports.tier_summary(bed.mart)

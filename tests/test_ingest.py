@@ -112,6 +112,20 @@ def test_sync_loads_the_gap_once(spark, landing, tmp_path):
     assert rows(snapshots.snapshot_inventory(spark.read.parquet(table))) == [(3, 6)]
 
 
+@pytest.mark.parametrize("broken", [True, False])
+def test_big_files_are_read_in_splits_where_that_is_exact(spark, tmp_path, broken):
+    root, tail = tmp_path / "landing", "\n" if broken else " "
+    write(root, "2025-11-04", [f'A{i},"say ""hi"", {i}{tail}",Ames' for i in range(500)])
+    assert snapshots.has_broken_lines(spark, [str(root)]) is broken
+    whole, split = str(tmp_path / "whole"), str(tmp_path / "split")
+    snapshots.sync_feed(spark, str(root), "accounts", whole)
+    snapshots.sync_feed(spark, str(root), "accounts", split, whole_file_bytes=0)
+    columns = HEADER.split(",")
+    found = rows(spark.read.parquet(split).select(columns))
+    assert found == rows(spark.read.parquet(whole).select(columns))
+    assert len(found) == 500
+
+
 def test_a_repeated_night_replaces_its_rows(spark, landing, tmp_path):
     table = str(tmp_path / "raw")
     snapshots.sync_feed(spark, str(landing), "accounts", table)

@@ -384,7 +384,7 @@ def test_parse_failures(spark, accounts_raw, opportunities_raw):
                                         "created_date": "24/01/2023", "last_activity_date": "2023-01-24"}])
     found = quality.dates_parse(accounts_raw.unionByName(bad), opportunities_raw)
     assert rows(found.select("source_table", "source_column", "expected_format", "unparseable_value")) == [
-        ("accounts_snapshots", "contract_start_date", "dmy", "2023-01-24"),
+        ("accounts_snapshots", "contract_start_date", "uk", "2023-01-24"),
         ("accounts_snapshots", "created_date", "iso", "24/01/2023"),
     ]
     money = quality.money_parses(accounts_raw, opportunities_raw)
@@ -465,6 +465,7 @@ def test_list_reports(mart):
         "No store_number on the account": (2, 0),
         "store_number not found in market data": (1, 0),
     }
+    assert tuple(reports.overview(mart).first()) == (6, D(2026, 5, 2))
     u = reports.unmatched_summary(mart).first()
     assert (u.unmatched, u.accounts, u.unmatched_pipeline_gbp, u.unmatched_pct) == (3, 6, 5, 50.0)
     assert tuple(reports.loss_report(mart).first()) == (2, 1, 3)
