@@ -67,8 +67,10 @@ def build_targets(
     Stages that several checks read are written once. A late feed stops the
     build: it would turn accounts into ones without opportunities.
     """
-    feeds = {f: spark.read.parquet(f"{raw}/{f}_snapshots") for f in snapshots.FEEDS}
-    as_of = latest_date(feeds["accounts"])
+    paths = {f: f"{raw}/{f}_snapshots" for f in snapshots.FEEDS}
+    feeds = {f: spark.read.parquet(path) for f, path in paths.items()}
+    # From the folder names: no file of the history is opened to find the newest night.
+    as_of = latest_date(snapshots.loaded_snapshots(spark, paths["accounts"]))
     late = crm.late_feeds(as_of, opportunities=feeds["opportunities"]).collect()
     if late:
         raise snapshots.SnapshotError(f"no rows for the latest night: {[r.feed for r in late]}")
@@ -78,7 +80,7 @@ def build_targets(
     rollup = staging.stage_market(spark.table(market_table))
     current = materialise(crm.accounts_current(accounts, opportunities, as_of), "current")
     stores = materialise(market.store_recent_sales(rollup, policy), "stores")
-    night = latest_date(feeds["contacts"])
+    night = latest_date(snapshots.loaded_snapshots(spark, paths["contacts"]))
     people = materialise(crm.primary_contact(contacts, policy, night), "people")
     targets.target_accounts(current, stores, people, policy).write.mode("overwrite").saveAsTable(
         table

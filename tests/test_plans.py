@@ -9,7 +9,9 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from shelfscout.plans import crm, market, quality, reports, staging, targets
+from shelfscout.operators.latest import latest_date
 from shelfscout.policy import CategoryPolicy, TargetingPolicy
+from shelfscout.sources.snapshots import loaded_snapshots
 
 D = dt.date
 POLICY = TargetingPolicy(
@@ -254,6 +256,22 @@ def test_states_by_precedence(current):
     assert {r.crm_as_of_date for r in found.values()} == {D(2026, 5, 2)}
 
 
+def test_only_the_latest_night_is_read(spark, accounts_raw, opportunities_raw, tmp_path):
+    """The night reaches the folder listing through the deduplication."""
+    feeds = {}
+    for name, feed in (("accounts", accounts_raw), ("opportunities", opportunities_raw)):
+        feed.write.partitionBy("snapshot_date").parquet(str(tmp_path / name))
+        feeds[name] = spark.read.parquet(str(tmp_path / name))
+    df = crm.accounts_current(
+        staging.stage_accounts(feeds["accounts"]),
+        staging.stage_opportunities(feeds["opportunities"]),
+        latest_date(loaded_snapshots(spark, str(tmp_path / "accounts"))),
+    )
+    pruned = [p for p in plan(df).split("PartitionFilters: [")[1:] if "Subquery" in p.split("]")[0]]
+    assert len(pruned) >= 2
+    assert df.count() == 7
+
+
 def test_primary_contact(people):
     found = {r.account_id: r for r in people.collect()}
     assert (found["A1"].contact_id, found["A1"].contact_name) == ("C9", "Al B")
