@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -47,36 +48,39 @@ def duplicates_agree(raw: DataFrame, key: str, facts: list[str]) -> DataFrame:
     )
 
 
-def _failures(raw: DataFrame, entries: list) -> DataFrame:
-    """One row per present value that parsed to nothing, all columns in one scan."""
-    return raw.select("snapshot_date", F.inline(F.array(*entries))).where("_failed").drop("_failed")
-
+def _failures(raw: DataFrame, labels: dict[str, list], parse: Callable) -> DataFrame:
+    """One row per present value that parsed to nothing, all columns in one scan.
 
-def date_failures(raw: DataFrame, feed: str) -> DataFrame:
+    Filtering rows before they are laid out by column looks cheaper and measured
+    slower: every value would be cleaned once for the filter and again after it.
+    """
     entries = [
         F.struct(
-            F.lit(f"{feed}_snapshots").alias("source_table"),
-            F.lit(name).alias("source_column"),
-            F.lit(how).alias("expected_format"),
+            *label,
             F.col(name).alias("unparseable_value"),
-            (clean_string(name).isNotNull() & PARSERS[how](name).isNull()).alias("_failed"),
+            (clean_string(name).isNotNull() & parse(name).isNull()).alias("_failed"),
         )
-        for name, how in DATE_FORMATS[feed].items()
+        for name, label in labels.items()
     ]
-    return _failures(raw, entries)
+    return raw.select("snapshot_date", F.inline(F.array(*entries))).where("_failed").drop("_failed")
+
+
+def _source(feed: str, name: str) -> list:
+    return [F.lit(f"{feed}_snapshots").alias("source_table"), F.lit(name).alias("source_column")]
+
+
+def date_failures(raw: DataFrame, feed: str) -> DataFrame:
+    formats = DATE_FORMATS[feed]
+    labels = {
+        name: [*_source(feed, name), F.lit(how).alias("expected_format")]
+        for name, how in formats.items()
+    }
+    return _failures(raw, labels, lambda name: PARSERS[formats[name]](name))
 
 
 def money_failures(raw: DataFrame, feed: str) -> DataFrame:
-    entries = [
-        F.struct(
-            F.lit(f"{feed}_snapshots").alias("source_table"),
-            F.lit(name).alias("source_column"),
-            F.col(name).alias("unparseable_value"),
-            (clean_string(name).isNotNull() & parse_money(name).isNull()).alias("_failed"),
-        )
-        for name in MONEY_COLUMNS[feed]
-    ]
-    return _failures(raw, entries)
+    labels = {name: _source(feed, name) for name in MONEY_COLUMNS[feed]}
+    return _failures(raw, labels, parse_money)
 
 
 def dates_parse(accounts_raw: DataFrame, opportunities_raw: DataFrame) -> DataFrame:

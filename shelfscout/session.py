@@ -40,8 +40,11 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster the
     executors would each write to a disk the others cannot read.
     """
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if folder:
+        return folder.rstrip("/")
     context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    folder = context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")

@@ -498,6 +498,9 @@ SQL: dict[str, str] = {
     "snapshot_counts": _sql("""
         select cast(snapshot_date as varchar) as snapshot_date, count(*) as row_count
         from snapshots_raw group by 1"""),
+    "streamed_snapshot_counts": """
+        select cast(cast(ts as date) as varchar) as snapshot_date, count(*) as row_count
+        from events group by 1""",
     "snapshot_inventory": _sql("""
         select count(distinct snapshot_date) as snapshots, count(*) as row_count
         from snapshots_raw"""),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
@@ -14,8 +15,9 @@ from shelfscout.operators import checks, latest
 from shelfscout.operators.latest import latest_date
 from shelfscout.plans import crm, market, quality, reports, staging, targets
 from shelfscout.policy import TargetingPolicy
-from shelfscout.session import materialise
+from shelfscout.session import materialise, shared_folder
 from shelfscout.sources import snapshots
+from shelfscout.streaming import snapshot_stream
 from testbed.feeds import POLICY, feed
 
 NO_LOSSES = replace(POLICY, exclude_closed_lost=True, premium_floor=0)
@@ -217,6 +219,21 @@ def snapshot_inventory(bed: Bed) -> DataFrame:
     return snapshots.snapshot_inventory(bed.raw("snapshots"))
 
 
+@query
+def streamed_snapshot_counts(bed: Bed) -> DataFrame:
+    """The events file taken in as a file stream, landed by night, then counted."""
+    spark, landed = bed.spark, f"{shared_folder(bed.spark)}/streamed-{uuid.uuid4().hex}"
+    stored = spark.read.parquet(f"{bed.sf_dir}/events.parquet")
+    arriving = (
+        spark.readStream.schema(stored.schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(bed.sf_dir)
+        .withColumn("snapshot_date", F.col("ts").cast("date"))
+    )
+    snapshot_stream.run_available(arriving, f"{landed}/rows", f"{landed}/state")
+    return snapshots.snapshot_counts(spark.read.parquet(f"{landed}/rows"))
+
+
 # --- market ----------------------------------------------------------------------
 
 
