@@ -335,8 +335,8 @@ MART_COLUMNS = f"""
     contact_email, contact_phone, contact_linkedin_url, has_market_match, store_number,
     store_name, city, county, address, {_doubles('tier_measure', 'premium_gin_dollars',
     'other_gin_dollars', 'total_gin_dollars', 'non_gin_dollars', 'total_dollars')},
-    premium_gin_bottles, premium_gin_order_lines, premium_share_of_gin, gin_share_of_store,
-    premium_gin_dollars_per_bottle, {_texts('last_premium_gin_purchase_date',
+    {_doubles('premium_gin_bottles', 'premium_gin_order_lines')}, premium_share_of_gin,
+    gin_share_of_store, premium_gin_dollars_per_bottle, {_texts('last_premium_gin_purchase_date',
     'last_purchase_date')}, rank_rationale"""
 
 TOP = f"target_rank <= {POLICY.list_size}"
@@ -521,7 +521,7 @@ SQL: dict[str, str] = {
     "store_recent_sales": _sql(f"""
         select store_number, store_name, address, city, county, {_doubles('premium_gin_dollars',
           'other_gin_dollars', 'total_gin_dollars', 'non_gin_dollars', 'total_dollars')},
-          premium_gin_bottles, premium_gin_order_lines,
+          {_doubles('premium_gin_bottles', 'premium_gin_order_lines')},
           {_texts('last_premium_gin_purchase_date', 'last_purchase_date')},
           premium_share_of_gin, gin_share_of_store, premium_gin_dollars_per_bottle from stores"""),
     "store_ratios": _sql("""
@@ -581,9 +581,9 @@ SQL: dict[str, str] = {
         select * replace ({_texts('snapshot_date')}) from failed_dates union all by name
         select * replace ({_texts('snapshot_date')}) from failed_money"""),
     "check_unique": _sql("""
-        select event_id, null as account_id, count(*) as row_count from snapshots_raw
-        group by event_id having count(*) > 1
-        union all select null, account_id, count(*) from opportunities_raw
+        select 'event_id' as column_name, cast(event_id as varchar) as value,
+          count(*) as row_count from snapshots_raw group by event_id having count(*) > 1
+        union all select 'account_id', account_id, count(*) from opportunities_raw
         where account_id is not null group by account_id having count(*) > 1"""),
     "check_unique_combo": _sql("""
         select account_id, cast(snapshot_date as varchar) as snapshot_date,
@@ -695,7 +695,8 @@ SQL: dict[str, str] = {
         """select target_rank, '#' || target_rank || ' ' || split_part(account_name, ' - ', 1)[1:22]
              as short_name, cast(tier_measure as double) as volume, prem_pct,
              place <= 3 as is_largest, pure and pure_place = 1 as leads_pure,
-             case when pure and pure_place = 1 then pure_count - 1 end as other_pure
+             case when pure and pure_place = 1 then cast(pure_count - 1 as double) end
+               as other_pure
            from placed""",
         placed="""select *, row_number() over (order by tier_measure desc, target_rank) as place,
              row_number() over (partition by pure order by tier_measure desc, target_rank)

@@ -28,12 +28,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+# Whole numbers that may be missing; some readers turn those into floats.
+HOLLOW_COUNTS = ("premium_gin_bottles", "premium_gin_order_lines", "other_pure")
+
+
 def plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and dates as text, so that any reader compares alike."""
+    """Decimals and hollow counts as doubles, dates as text: any reader compares alike."""
 
     def shown(name: str, kind: str) -> Column:
         column = F.col(f"`{name}`")
-        if kind.startswith("decimal"):
+        if kind.startswith("decimal") or name in HOLLOW_COUNTS:
             return column.cast("double").alias(name)
         if kind.startswith(("date", "timestamp")):
             return column.cast("string").alias(name)
@@ -390,9 +394,14 @@ def parse_failures(bed: Bed) -> DataFrame:
 
 @query
 def check_unique(bed: Bed) -> DataFrame:
-    return checks.unique(bed.raw("snapshots"), "event_id").unionByName(
-        checks.unique(bed.opportunities_raw, "account_id"), allowMissingColumns=True
-    )
+    def repeated(df: DataFrame, column: str) -> DataFrame:
+        value = F.col(column).cast("string").alias("value")
+        return checks.unique(df, column).select(
+            F.lit(column).alias("column_name"), value, "row_count"
+        )
+
+    events = repeated(bed.raw("snapshots"), "event_id")
+    return events.unionByName(repeated(bed.opportunities_raw, "account_id"))
 
 
 @query
