@@ -1,11 +1,11 @@
 """The three jobs, each safe to run again.
 
-    spark-submit -m ... or python -m shelfscout.jobs sync    LANDING RAW [--feed F] [--catalogue FILE]
-                           python -m shelfscout.jobs market  SALES TABLE [--force] [--estimate]
-                           python -m shelfscout.jobs targets RAW MARKET_TABLE CATALOGUE_TABLE TABLE
+    python -m shelfscout.jobs sync    LANDING RAW [--feed F] [--catalogue FILE]
+    python -m shelfscout.jobs market  SALES TABLE [--force] [--estimate]
+    python -m shelfscout.jobs targets RAW MARKET_TABLE CATALOGUE_TABLE TABLE
 
-The session comes from the environment (spark-submit); set ``spark.checkpoint.dir``
-to a folder all executors share.
+or the same arguments after ``spark-submit .../jobs.py``. The session comes from the
+environment; set ``spark.checkpoint.dir`` to a folder all executors share.
 """
 
 from __future__ import annotations

@@ -173,7 +173,7 @@ CTES: dict[str, str] = {
         with lines as (
           select * replace (cast(sale_dollars as decimal(18,2)) as sale_dollars,
               cast(volume_sold_liters as decimal(18,3)) as volume_sold_liters),
-            year(date) as year, {GROUP} as cat_group, {DETAIL} as gin_category
+            cast(year(date) as int) as year, {GROUP} as cat_group, {DETAIL} as gin_category
           from sales_raw where date >= date '{POLICY.sales_start}'),
         newest as (
           select store_number, year, cat_group, gin_category, store_name, address, city, county
