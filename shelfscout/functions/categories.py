@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscout.functions.cleaning import trimmed
+from shelfscout.functions.cleaning import trimmed_fact
 from shelfscout.policy import CategoryPolicy
 
 
 def category_name(c: Column | str) -> Column:
     """The spelling the lists are written in."""
-    return F.upper(trimmed(c))
+    return F.upper(trimmed_fact(c))
 
 
 def category_group(name: Column, policy: CategoryPolicy) -> Column:

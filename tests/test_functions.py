@@ -26,6 +26,16 @@ def test_whitespace_list_is_the_unicode_property(spark):
     assert sorted(left) == sorted(cleaning.WHITESPACE)
 
 
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet=cleaning.WHITESPACE + "aé", max_size=8), min_size=1, max_size=8))
+def test_both_trims_agree(spark, texts):
+    edge = cleaning.WHITESPACE
+    expected = [t.strip(edge) for t in texts]
+    assert column_of(spark, texts, cleaning.trimmed("c")) == expected
+    assert column_of(spark, texts, cleaning.trimmed_fact("c")) == expected
+    assert column_of(spark, [None], cleaning.trimmed_fact("c")) == [None]
+
+
 def test_parse_money(spark):
     raw = ["GBP 76,503.29", "76503.29", " GBP -5.5 ", "n/a", "", "1-2", "(500)", None]
     parsed = column_of(spark, raw, cleaning.parse_money("c"))
