@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscout.llm import chunk_dedup, simhash
+import public_tokenizers
+
+from shelfscout.llm import chunk_dedup, mixing, packing, quality, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,11 +32,58 @@ def op6_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"), share=1.5, weights=(3, 1, 2), most=2.0)
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken)
+
+
+def op8_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.byte_shards(table(spark, sf_dir, "documents"), shards=40)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    found = packing.decompose(table(spark, sf_dir, "documents"), path, longest=1024, end_id=0)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        F.col("sequence").alias("sequence_id"),
+        "offset",
+    )
+
+
+def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), usable=~held_out)
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 REGISTRY: dict[str, Query] = {
     query.__name__: query
     for query in (
         op3_simhash_near_dedup,
         op6_chunk_recipe_dedup,
+        op7_entropy_mixing,
+        op8_byte_prefix_shards,
+        op9_power_of_two_packing,
+        op10_nbsvm_quality,
     )
 }
 
