@@ -206,3 +206,24 @@ def mix(
     return ranked.select(
         "id", "text_key", "size", "source_size", "target", "rate", (F.col("whole") + chosen).alias("copies")
     )
+
+
+def copy_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``docs``, each as often as ``decided`` (id, text_key, copies) says, all columns as they were.
+
+    Rows are found by id and text; of rows equal in both, one stands for all and
+    gets their copies together.
+    """
+    names = docs.columns
+    keyed = docs.select("*", F.col(f"`{id_col}`").alias("__id"), text_key(text_col).alias("__key"))
+    wanted = decided.groupBy("id", "text_key").agg(
+        F.sum("copies").cast("int").alias("__copies"), F.count(F.lit(1)).alias("__rows")
+    )
+    wanted = materialise(wanted.withColumnsRenamed({"id": "__to_id", "text_key": "__to_key"}), "copies")
+    if not wanted.where("__rows > 1").isEmpty():
+        keyed = keyed.dropDuplicates(["__id", "__key"])
+    found = F.col("__id").eqNullSafe(F.col("__to_id")) & (F.col("__key") == F.col("__to_key"))
+    taken = keyed.join(wanted.where("__copies > 0"), found)
+    return taken.select(
+        *[F.col(f"`{name}`") for name in names], F.explode(F.array_repeat(F.lit(1), F.col("__copies"))).alias("__copy")
+    ).drop("__copy")
