@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shelfscout.llm import chunk_dedup, mixing, packing, quality, sharding, simhash
+from shelfscout.llm import chunk_dedup, mixing, packing, quality, secrets, sharding, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(secrets.samples(docs)))
+    base = F.filter("spans", lambda s: s["kind"] != secrets.MODEL_KIND)
+    counts = [
+        F.size(secrets.of_kind("spans", kind)).cast("long").alias(f"n_{kind}")
+        for kind in secrets.BASE_KINDS
+    ]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, most=2)
     return found.select(
@@ -27,6 +43,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op6_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunk_dedup.chunk_dedup(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -78,7 +98,9 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op2_markov_secrets,
         op3_simhash_near_dedup,
+        op4_pivot_top_k,
         op6_chunk_recipe_dedup,
         op7_entropy_mixing,
         op8_byte_prefix_shards,
