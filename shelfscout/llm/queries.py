@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shelfscout.llm import chunk_dedup, mixing, packing, quality, secrets, sharding, simhash, topk
+from shelfscout.llm import (
+    chunk_dedup,
+    language_model,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    token_counts,
+    topk,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _crc32(column: str) -> Column:
+    return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_model.score(table(spark, sf_dir, "documents"), held_out=_crc32("doc_id") % 7 == 2)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op2_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secrets.scan(docs, secrets.train(secrets.samples(docs)))
@@ -47,6 +67,11 @@ def op4_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op5_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
+
+
 def op6_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunk_dedup.chunk_dedup(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -86,7 +111,7 @@ def op9_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    held_out = F.coalesce(_crc32("doc_id") % 5 == 0, F.lit(False))
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"), usable=~held_out)
     scored = quality.score(docs.select("doc_id", "text"), model)
@@ -98,9 +123,11 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_context_mixing,
         op2_markov_secrets,
         op3_simhash_near_dedup,
         op4_pivot_top_k,
+        op5_viterbi_counts,
         op6_chunk_recipe_dedup,
         op7_entropy_mixing,
         op8_byte_prefix_shards,
