@@ -135,9 +135,15 @@ def quotas(sizes: pd.DataFrame) -> pd.DataFrame:
     sizes = sizes.sort_values("size", ascending=False, ignore_index=True)
     whole, extra = _extras(float(sizes["rate"].iloc[0])) if len(sizes) else (0, 0.0)
     carried, given = 0.0, []
+    rest = float((sizes["size"] * sizes["rows"]).sum())
     for size, rows in zip(sizes["size"].tolist(), sizes["rows"].tolist(), strict=True):
-        wanted = carried + extra * size * rows
-        take = min(rows, max(0, math.floor(wanted / size + 0.5))) if size else 0
+        rest -= size * rows
+        wanted, take = carried + extra * size * rows, 0
+        if size:
+            # As near as can be, but no more is left than the smaller sizes can make up for.
+            low, high = (wanted - (1 - extra) * rest) / size, (wanted + extra * rest) / size
+            take = min(max(math.floor(wanted / size + 0.5), math.ceil(low - 1e-9)), math.floor(high + 1e-9))
+            take = min(max(take, 0), rows)
         carried = wanted - take * size
         given.append(take)
     return sizes.assign(whole=whole, extra=given)[["cell", "size", "rows", "whole", "extra"]]
@@ -197,9 +203,12 @@ def mix(
     order = F.xxhash64("id", "text_key")
     parts = F.ceil(F.col("rows") / RANKED)
     placed = named.join(given, ["cell", "size"]).withColumn("order", order).withColumn("part", F.pmod("order", parts))
+    placed = materialise(placed, "placed")
     counts = placed.groupBy("cell", "size", "part").agg(F.count(F.lit(1)).alias("here"))
     before = Window.partitionBy("cell", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("cell", "size", "part", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("before"))
+    # Written, so that the join deals rows by part too and not by the counts' layout.
+    counts = materialise(counts, "part-counts")
     within = Window.partitionBy("cell", "size", "part").orderBy("order", "id")
     ranked = placed.withColumn("rank", F.row_number().over(within)).join(counts, ["cell", "size", "part"])
     chosen = (F.col("before") + F.col("rank") <= F.col("extra")).cast("long")
