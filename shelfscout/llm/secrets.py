@@ -90,18 +90,23 @@ def train(labelled: DataFrame, smoothing: float = 0.5) -> Model:
     # At most one row per label and pair of ASCII codes.
     for random, a, b, n in pairs.where(f"a < {CODES} and b < {CODES}").groupBy("random", "a", "b").count().collect():
         counts[random][a * CODES + b] = n
-    logs = {}
-    for label, table in counts.items():
-        logs[label] = [
-            math.log((table[a * CODES + b] + smoothing) / (sum(table[a * CODES : (a + 1) * CODES]) + smoothing * KNOWN))
-            for a in range(CODES)
-            for b in range(CODES)
-        ]
+    logs = {label: _logs(table, smoothing) for label, table in counts.items()}
     if not any(counts[True]) or not any(counts[False]):
         return Model((0.0,) * (CODES * CODES))
     return Model(tuple(x - y for x, y in zip(logs[True], logs[False], strict=True)))
 
 
+def _logs(table: list[int], smoothing: float) -> list[float]:
+    """Log probability of each pair's second character; pairs lean on how common it is at all."""
+    faith, total = smoothing * KNOWN, sum(table)
+    alone = [(sum(table[b::CODES]) + smoothing) / (total + faith) for b in range(CODES)]
+    found = []
+    for a in range(0, CODES * CODES, CODES):
+        row = table[a : a + CODES]
+        found += [math.log((n + faith * chance) / (sum(row) + faith)) for n, chance in zip(row, alone, strict=True)]
+    return found
+
+
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda total, x: total + x)
 
