@@ -11,8 +11,10 @@ shuffle.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from shelfscout.llm.common import text_of
 # A space between two characters that are not white space: the byte-level
 # pattern never joins anything across the place before it.
 SPACE = re.compile(r" (?<=\S )(?=\S)")
-# Characters encoded at a time, and words remembered per worker before it starts anew.
+# Characters encoded at a time, and words in a worker's memory before it starts the next.
 AT_ONCE = 1 << 20
 REMEMBERED = 400_000
 
@@ -53,6 +55,7 @@ class Encoder:
     _loaded: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are what runs in parallel
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -68,6 +71,7 @@ class Encoder:
             and all(token["special"] for token in config.get("added_tokens") or [])
         )
         self.memo: dict[str, bytes] = {}
+        self.former: dict[str, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -82,8 +86,11 @@ class Encoder:
         heads = iter(self._whole([words[0] for words in cut if words]))
         tails = [words[1:] for words in cut]
         if len(self.memo) > REMEMBERED:
-            self.memo.clear()
-        fresh = list(set().union(*tails).difference(self.memo))
+            # Words that are still in use come back from the former memory at no cost.
+            self.former, self.memo = self.memo, {}
+        missing = set().union(*tails).difference(self.memo)
+        self.memo.update((word, self.former[word]) for word in missing & self.former.keys())
+        fresh = list(missing.difference(self.memo))
         self.memo.update(zip(fresh, self._whole([f" {word}" for word in fresh]), strict=True))
         find = self.memo.__getitem__
         return [
@@ -92,8 +99,10 @@ class Encoder:
         ]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
+        found = [one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        ends = [0, *accumulate(4 * len(ids) for ids in found)]
+        return [flat[start:end] for start, end in pairwise(ends)]
 
     def long_text(self, text: str) -> bytes:
         """A text of any length, a part at a time where parts are independent."""
