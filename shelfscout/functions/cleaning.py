@@ -88,13 +88,14 @@ def stage_group(stage: Column | str) -> Column:
     )
 
 
-def text_hash(*texts: Column) -> Column:
-    """A short stand-in for a row of texts: equal rows, equal hash. NULL is a
-    value here and differs from empty; the separator keeps neighbours apart."""
-    return F.md5(F.concat_ws("\x1f", *[F.coalesce(text, F.lit("\x1e")) for text in texts]))
+def row_hash(columns: list[str] | list[Column]) -> Column:
+    """A short stand-in for a row: JSON keeps neighbours apart, whatever they
+    hold, and writes a missing value unlike any text."""
+    row = F.struct(*[_col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
 
 
 def row_fingerprint(columns: list[str]) -> Column:
     """The cleaned row as one comparable value: two rows agree only if they
     agree on what is missing too."""
-    return text_hash(*[clean_string(name) for name in columns])
+    return row_hash([clean_string(name) for name in columns])

@@ -1,24 +1,29 @@
 """The three jobs, each safe to run again.
 
-    python -m shelfscout.jobs sync    LANDING RAW [--feed F] [--catalogue FILE]
-    python -m shelfscout.jobs market  SALES TABLE [--force] [--estimate]
-    python -m shelfscout.jobs targets RAW MARKET_TABLE CATALOGUE_TABLE TABLE
-
-or the same arguments after ``spark-submit .../jobs.py``. The session comes from the
-environment; set ``spark.checkpoint.dir`` to a folder all executors share.
+    python -m shelfscout.jobs sync    LANDING RAW [--feed F] [--catalogue FILE] [--multi-line]
+    python -m shelfscout.jobs market  SALES TABLE [--force] [--estimate] [--buckets N]
+    python -m shelfscout.jobs targets RAW MARKET_TABLE CATALOGUE_TABLE TABLE [--restage]
+
+or the same arguments after ``spark-submit .../jobs.py``. ``market`` and ``targets``
+take the policy as ``--policy FILE`` (a JSON object of fields) and ``--set
+FIELD=JSON``, as often as needed. The session comes from the environment; set
+``spark.checkpoint.dir`` to a folder all executors share.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shelfscout.functions.cleaning import normalise_key
 from shelfscout.operators.checks import run_suite
 from shelfscout.operators.latest import latest_date
 from shelfscout.plans import crm, market, quality, staging, targets
-from shelfscout.policy import TargetingPolicy
-from shelfscout.session import materialise
+from shelfscout.policy import SCAN_CEILING_BYTES, TargetingPolicy
+from shelfscout.session import materialise, scratch
 from shelfscout.sources import snapshots, tables
 
 CATALOGUE_TABLE = "product_catalogue"
@@ -30,28 +35,66 @@ def sync_crm(
     raw: str,
     feeds: tuple[str, ...] = snapshots.FEEDS,
     catalogue: str | None = None,
+    multi_line: bool = False,
 ) -> dict[str, int]:
     """Load the missing nights of every feed; replace the catalogue if one is given."""
     loaded = {
-        feed: snapshots.sync_feed(spark, landing, feed, f"{raw}/{feed}_snapshots") for feed in feeds
+        feed: snapshots.sync_feed(spark, landing, feed, f"{raw}/{feed}_snapshots", multi_line)
+        for feed in feeds
     }
     if catalogue:
         tables.replace_table(spark, catalogue, CATALOGUE_TABLE)
     return loaded
 
 
+def scan_ceiling(spark: SparkSession, policy: TargetingPolicy) -> int:
+    if policy.scan_ceiling_bytes is not None:
+        return policy.scan_ceiling_bytes
+    if spark.sparkContext.master.startswith("local"):
+        return SCAN_CEILING_BYTES
+    raise ValueError("set scan_ceiling_bytes in the policy (0: no ceiling)")
+
+
+def market_bytes(spark: SparkSession, sales: str, policy: TargetingPolicy) -> int:
+    """Bytes of the sales files that hold lines from ``sales_start`` on."""
+    since = F.col("date") >= F.lit(policy.sales_start).cast("date")
+    return tables.selected_bytes(spark, sales, condition=since)
+
+
 def build_market(
-    spark: SparkSession, sales: str, table: str, policy: TargetingPolicy, force: bool = False
+    spark: SparkSession,
+    sales: str,
+    table: str,
+    policy: TargetingPolicy,
+    force: bool = False,
+    buckets: int = tables.BUCKETS,
 ) -> bool:
-    """Roll the sales up once, behind the scan ceiling; nothing else reads them."""
-    tables.check_scan_budget(spark, sales, policy.scan_ceiling_bytes)
-    return tables.build_table(
-        spark,
-        lambda: market.sales_rollup(spark.read.parquet(sales), policy),
-        table,
-        force,
-        key="store_number",
-    )
+    """Roll the sales up once, behind the scan ceiling; nothing else reads them.
+
+    The table is laid out by the key in the form the CRM uses, so what groups by
+    store later needs no shuffle.
+    """
+
+    def rollup() -> DataFrame:
+        found = market.sales_rollup(spark.read.parquet(sales), policy)
+        return found.withColumn("store_number", normalise_key("store_number"))
+
+    tables.check_budget(market_bytes(spark, sales, policy), scan_ceiling(spark, policy), sales)
+    return tables.build_table(spark, rollup, table, force, key="store_number", buckets=buckets)
+
+
+def stage_feed(spark: SparkSession, raw: str, feed: str, restage: bool = False) -> DataFrame:
+    """The staged history of a feed, one folder per night. Nights that are staged
+    already are not parsed again unless asked for."""
+    path, staged = f"{raw}/{feed}_snapshots", f"{raw}/{feed}_staged"
+    nights = snapshots.loaded_snapshots(spark, path)
+    if not restage:
+        nights = snapshots.missing_snapshots(nights, snapshots.loaded_snapshots(spark, staged))
+    missing = [row.snapshot_date for row in nights.collect()]
+    rows = staging.STAGERS[feed](spark.read.parquet(path))
+    if missing:
+        snapshots.publish(rows.where(F.col("snapshot_date").isin(missing)), staged)
+    return spark.read.schema(rows.schema).parquet(staged)
 
 
 def build_targets(
@@ -61,11 +104,14 @@ def build_targets(
     catalogue_table: str,
     table: str,
     policy: TargetingPolicy,
+    restage: bool = False,
 ) -> DataFrame:
-    """Write the ranked mart and return the verdict of every check.
+    """Write the ranked mart to ``table`` and the verdict of every check to
+    ``<table>_checks``, which is returned.
 
-    Stages that several checks read are written once. A late feed stops the
-    build: it would turn accounts into ones without opportunities.
+    Stages that several checks read are written once and deleted at the end. A
+    late feed stops the build: it would turn accounts into ones without
+    opportunities.
     """
     paths = {f: f"{raw}/{f}_snapshots" for f in snapshots.FEEDS}
     feeds = {f: spark.read.parquet(path) for f, path in paths.items()}
@@ -74,65 +120,82 @@ def build_targets(
     late = crm.late_feeds(as_of, opportunities=feeds["opportunities"]).collect()
     if late:
         raise snapshots.SnapshotError(f"no rows for the latest night: {[r.feed for r in late]}")
-    accounts = staging.stage_accounts(feeds["accounts"])
-    opportunities = staging.stage_opportunities(feeds["opportunities"])
-    contacts = staging.stage_contacts(feeds["contacts"])
-    rollup = staging.stage_market(spark.table(market_table))
-    current = materialise(crm.accounts_current(accounts, opportunities, as_of), "current")
-    stores = materialise(market.store_recent_sales(rollup, policy), "stores")
-    night = latest_date(snapshots.loaded_snapshots(spark, paths["contacts"]))
-    people = materialise(crm.primary_contact(contacts, policy, night), "people")
-    targets.target_accounts(current, stores, people, policy).write.mode("overwrite").saveAsTable(
-        table
-    )
-    models = quality.Models(
-        accounts_raw=feeds["accounts"],
-        opportunities_raw=feeds["opportunities"],
-        accounts=materialise(accounts, "accounts"),
-        opportunities=materialise(opportunities, "opportunities"),
-        contacts=materialise(contacts, "contacts"),
-        products=staging.stage_products(spark.table(catalogue_table)),
-        market=rollup,
-        accounts_current=current,
-        primary_contact=people,
-        store_recent_sales=stores,
-        mart=spark.table(table),
-    )
-    return run_suite(quality.declared_checks(models, policy))
+    staged = {f: stage_feed(spark, raw, f, restage) for f in snapshots.FEEDS}
+    rollup = staging.stage_market(spark.table(market_table), normalised=True)
+    with scratch(spark):
+        stores = materialise(market.store_recent_sales(rollup, policy), "stores")
+        night = latest_date(snapshots.loaded_snapshots(spark, paths["contacts"]))
+        people = materialise(crm.primary_contact(staged["contacts"], policy, night), "people")
+        # Straight from its join, still laid out by account, for the contacts.
+        current = crm.accounts_current(staged["accounts"], staged["opportunities"], as_of)
+        mart = targets.target_accounts(current, stores, people, policy)
+        mart.write.mode("overwrite").saveAsTable(table)
+        failures = quality.all_parse_failures(feeds["accounts"], feeds["opportunities"])
+        models = quality.Models(
+            accounts_raw=feeds["accounts"],
+            failures=materialise(failures, "failures"),
+            **staged,
+            products=staging.stage_products(spark.table(catalogue_table)),
+            market=rollup,
+            accounts_current=materialise(current, "current"),
+            primary_contact=people,
+            store_recent_sales=stores,
+            mart=spark.table(table),
+        )
+        verdicts = run_suite(quality.declared_checks(models, policy))
+        verdicts.write.mode("overwrite").saveAsTable(f"{table}_checks")
+    return spark.table(f"{table}_checks")
+
+
+def policy_of(spark: SparkSession, path: str | None, choices: list[str]) -> TargetingPolicy:
+    """The policy of a JSON file, with ``FIELD=JSON`` choices on top."""
+    text = spark.read.option("wholetext", True).text(path).first().value if path else "{}"
+    named = dict(choice.split("=", 1) for choice in choices)
+    return TargetingPolicy.from_json(text).changed({name: json.loads(value) for name, value in named.items()})
 
 
 def main(argv: list[str] | None = None) -> int:
-    parser = argparse.ArgumentParser(description=__doc__)
+    parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
     sync = jobs.add_parser("sync")
     sync.add_argument("landing")
     sync.add_argument("raw")
     sync.add_argument("--feed", choices=snapshots.FEEDS)
     sync.add_argument("--catalogue")
+    sync.add_argument("--multi-line", action="store_true")
     rollup = jobs.add_parser("market")
     rollup.add_argument("sales")
     rollup.add_argument("table")
     rollup.add_argument("--force", action="store_true")
     rollup.add_argument("--estimate", action="store_true")
+    rollup.add_argument("--buckets", type=int, default=tables.BUCKETS)
     ranked = jobs.add_parser("targets")
     for name in ("raw", "market_table", "catalogue_table", "table"):
         ranked.add_argument(name)
+    ranked.add_argument("--restage", action="store_true")
+    for one in (rollup, ranked):
+        one.add_argument("--policy")
+        one.add_argument("--set", action="append", default=[], metavar="FIELD=JSON")
     args = parser.parse_args(argv)
-    spark, policy = SparkSession.builder.getOrCreate(), TargetingPolicy()
+    spark = SparkSession.builder.getOrCreate()
     if args.job == "sync":
         feeds = (args.feed,) if args.feed else snapshots.FEEDS
-        print(sync_crm(spark, args.landing, args.raw, feeds, args.catalogue))
-    elif args.job == "market" and args.estimate:
-        print(f"would scan {tables.selected_bytes(spark, args.sales) / 1024**3:.2f} GB")
+        print(sync_crm(spark, args.landing, args.raw, feeds, args.catalogue, args.multi_line))
+        return 0
+    policy = policy_of(spark, args.policy, args.set)
+    if args.job == "market" and args.estimate:
+        print(f"{args.sales}: {market_bytes(spark, args.sales, policy):,} bytes from {policy.sales_start} on")
     elif args.job == "market":
-        print("built" if build_market(spark, args.sales, args.table, policy, args.force) else "kept")
+        built = build_market(spark, args.sales, args.table, policy, args.force, args.buckets)
+        print("built" if built else "kept")
     else:
         verdicts = build_targets(
-            spark, args.raw, args.market_table, args.catalogue_table, args.table, policy
+            spark, args.raw, args.market_table, args.catalogue_table, args.table, policy, args.restage
         )
-        failed = verdicts.where("not passed")
-        failed.show(100, truncate=False)
-        return 1 if failed.count() else 0
+        failed = verdicts.where("not passed").collect()  # one row per declared check at most
+        for row in failed:
+            print(f"{row.model}.{row.column_name}: {row.check_name}: {row.violations:,} violations")
+        return 1 if failed else 0
     return 0
 
 

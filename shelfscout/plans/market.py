@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfscout.functions.categories import category_name, classify
 from shelfscout.functions.scoring import safe_ratio
@@ -21,19 +22,16 @@ ROLLUP_SUMS = [
     "order_lines",
 ]
 # Sums are exact: with doubles the total would depend on the order of the rows.
-# Lines count in cents and millilitres as whole numbers, which the hash aggregate
-# adds in place; wide decimals would make an object per line.
-DOLLARS = "decimal(28,2)"
-LITERS = "decimal(28,3)"
+# A double becomes the decimal it prints as; nothing is rounded before display.
+EXACT = "decimal(38,18)"
 
 
-def _fixed(c: str, digits: int) -> Column:
-    """An amount as a whole number of its smallest unit."""
-    return F.rint(F.col(c).cast("double") * 10**digits).cast("bigint")
-
-
-def _amount(total: str, kind: str, digits: int) -> Column:
-    return (F.col(total).cast("decimal(28,0)") / F.lit(10**digits)).cast(kind).alias(total)
+def _exact(sales: DataFrame, c: str) -> Column:
+    """An amount as the source has it if that adds up exactly, else as a wide decimal."""
+    kind = sales.schema[c].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col(c).cast("bigint")
+    return F.col(c) if isinstance(kind, T.DecimalType) else F.col(c).try_cast(EXACT)
 
 
 def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
@@ -46,18 +44,21 @@ def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
     already small result, again combined before its shuffle, so that even a store
     whose name changes on every line cannot flood one task.
     """
-    units = F.col("bottles_sold")
-    cents = F.col("_cents")
+    units, dollars, none = F.col("_units"), F.col("_dollars"), F.lit(0)
     in_range = sales.where(F.col("date") >= F.lit(policy.sales_start).cast("date"))
     lines = classify(in_range, policy.categories).withColumns(
-        {"year": F.year("date"), "_cents": _fixed("sale_dollars", 2)}
+        {
+            "year": F.year("date"),
+            "_dollars": _exact(sales, "sale_dollars"),
+            "_units": _exact(sales, "bottles_sold"),
+        }
     )
     variants = lines.groupBy(*ROLLUP_KEYS, *STORE_ATTRIBUTES).agg(
-        F.sum(cents).alias("net_sale_dollars"),
-        F.sum(F.when(units > 0, cents).otherwise(F.lit(0))).alias("gross_sale_dollars"),
-        F.sum(F.when(units < 0, cents).otherwise(F.lit(0))).alias("returns_dollars"),
-        F.sum(_fixed("volume_sold_liters", 3)).alias("net_volume_liters"),
-        F.sum(units.cast("bigint")).alias("net_bottles"),
+        F.sum(dollars).alias("net_sale_dollars"),
+        F.sum(F.when(units > 0, dollars).otherwise(none)).alias("gross_sale_dollars"),
+        F.sum(F.when(units < 0, dollars).otherwise(none)).alias("returns_dollars"),
+        F.sum(_exact(sales, "volume_sold_liters")).alias("net_volume_liters"),
+        F.sum(units).alias("net_bottles"),
         F.count_if(units < 0).alias("return_lines"),
         F.count(F.lit(1)).alias("order_lines"),
         F.max("date").alias("last_purchase_date"),
@@ -72,9 +73,7 @@ def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
         "year",
         "cat_group",
         "gin_category",
-        *[_amount(m, DOLLARS, 2) for m in ROLLUP_SUMS[:3]],
-        _amount("net_volume_liters", LITERS, 3),
-        *ROLLUP_SUMS[4:],
+        *ROLLUP_SUMS,
         F.col("_newest.last_purchase_date").alias("last_purchase_date"),
     )
 

@@ -13,12 +13,12 @@ from shelfscout.functions.cleaning import (
     parse_iso,
     parse_money,
     stage_group,
-    text_hash,
     trimmed,
 )
 from shelfscout.operators.latest import latest_per_key
 
 LINEAGE_COLUMNS = ["snapshot_date", "_source_file", "_loaded_at"]
+ROW_HASH = "_row_hash"
 
 ACCOUNT_TEXT = [
     "account_id",
@@ -65,14 +65,14 @@ def _money(feed: str) -> list[Column]:
 def one_per_night(raw: DataFrame, key: str) -> DataFrame:
     """One raw row per cleaned key and night: the last loaded.
 
-    Runs before anything is parsed, and a hash of the raw row settles ties: the
-    shuffle then carries only the columns a later step reads, and the sort
-    compares one short text instead of every column.
+    Runs before anything is parsed. Ties are settled by the row hash the load has
+    stored, so the scan and the shuffle carry only columns a later step reads; a
+    feed without one is ordered by all its columns, by name.
     """
     texts = sorted(c for c in raw.columns if c not in ("snapshot_date", "_loaded_at"))
-    keyed = raw.withColumns({"_key": clean_string(key), "_tie": text_hash(*map(F.col, texts))})
-    grain = ["_key", "snapshot_date"]
-    return latest_per_key(keyed, grain, "_loaded_at", [F.col("_tie")]).drop("_key", "_tie")
+    tie = [F.col(c) for c in ([ROW_HASH] if ROW_HASH in raw.columns else texts)]
+    keyed = raw.withColumn("_key", clean_string(key))
+    return latest_per_key(keyed, ["_key", "snapshot_date"], "_loaded_at", tie).drop("_key")
 
 
 def stage_accounts(raw: DataFrame) -> DataFrame:
@@ -105,17 +105,29 @@ def stage_opportunities(raw: DataFrame) -> DataFrame:
     )
 
 
+STAGERS = {
+    "accounts": stage_accounts,
+    "contacts": stage_contacts,
+    "opportunities": stage_opportunities,
+}
+
+
 def stage_products(raw: DataFrame) -> DataFrame:
     """The catalogue arrives typed; its texts are only trimmed."""
     return raw.select(*[trimmed(c).alias(c) for c in PRODUCT_TEXT], *PRODUCT_TYPED)
 
 
-def stage_market(rollup: DataFrame) -> DataFrame:
-    """The sales rollup with a join key comparable to the CRM's."""
+def stage_market(rollup: DataFrame, normalised: bool = False) -> DataFrame:
+    """The sales rollup with a join key comparable to the CRM's.
+
+    A table that was laid out by the ``normalised`` key keeps its column as it
+    is: only then can Spark use the layout.
+    """
     attributes = ["store_name", "address", "city", "county"]
     rest = [c for c in rollup.columns if c not in ("store_number", *attributes)]
+    key = F.col("store_number") if normalised else normalise_key("store_number").alias("store_number")
     return rollup.select(
-        normalise_key("store_number").alias("store_number"),
+        key,
         *[trimmed(c).alias(c) for c in attributes],
         *rest,
     )

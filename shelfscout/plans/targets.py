@@ -22,6 +22,7 @@ from shelfscout.operators.joins import left_join_hollow_key
 from shelfscout.operators.ranking import number_rows
 from shelfscout.policy import TargetingPolicy
 
+# The output schema.
 MARKET_MEASURES = [
     "premium_gin_dollars",
     "other_gin_dollars",
@@ -125,8 +126,9 @@ def rank(scored: DataFrame, policy: TargetingPolicy) -> DataFrame:
 def scored_accounts(
     accounts: DataFrame, market: DataFrame, contacts: DataFrame, policy: TargetingPolicy
 ) -> DataFrame:
-    """Everything but the rank. Contacts join first: accounts arrive laid out by
-    account from the opportunity join, so this one needs no shuffle of them."""
+    """Everything but the rank. Contacts join first: accounts that come straight
+    from the opportunity join are still laid out by account, so this one needs no
+    shuffle of them. Accounts read back from files are shuffled once more."""
     universe = eligible(accounts, policy).withColumnsRenamed(
         {
             "segment": "crm_segment",

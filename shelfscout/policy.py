@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from collections.abc import Mapping
+from dataclasses import dataclass, field, fields, replace
+from typing import Any
 
 # Category names of the public sales feed, exactly as it spells them.
 PREMIUM_CATEGORIES = (
@@ -38,7 +41,7 @@ CONTACT_TITLES = (
     "Store Manager",
 )
 
-# First day and scan ceiling (10 GiB) of the sales rollup.
+# First day of the sales rollup, and its scan ceiling (10 GiB) where none is stated.
 SALES_START_DATE = "2021-01-01"
 SCAN_CEILING_BYTES = 10 * 1024**3
 
@@ -89,9 +92,32 @@ class TargetingPolicy:
     statuses: tuple[str, ...] = ACCOUNT_STATUSES
     segments: tuple[str, ...] = ACCOUNT_SEGMENTS
     stages: tuple[str, ...] = OPPORTUNITY_STAGES
-    scan_ceiling_bytes: int = SCAN_CEILING_BYTES
+    # None: the ceiling above on a local master; a job on a cluster has to state
+    # one. 0: no ceiling.
+    scan_ceiling_bytes: int | None = None
 
     @property
     def excluded_states(self) -> tuple[str, ...]:
         """Won accounts are customers already; lost ones leave only on request."""
         return ("closed_won", "closed_lost") if self.exclude_closed_lost else ("closed_won",)
+
+    def changed(self, choices: Mapping[str, Any]) -> TargetingPolicy:
+        """The policy with some fields set, by name; ``categories`` takes a mapping of its own fields."""
+        return _changed(self, choices)
+
+    @classmethod
+    def from_json(cls, text: str) -> TargetingPolicy:
+        """The defaults with the fields a JSON object names."""
+        return cls().changed(json.loads(text))
+
+
+def _changed(policy: Any, choices: Mapping[str, Any]) -> Any:
+    known = {one.name for one in fields(policy)}
+    if unknown := set(choices) - known:
+        raise ValueError(f"no such policy field: {sorted(unknown)}; there are {sorted(known)}")
+    held = {}
+    for name, value in choices.items():
+        if isinstance(value, Mapping) and isinstance(getattr(policy, name), CategoryPolicy):
+            value = _changed(getattr(policy, name), value)
+        held[name] = tuple(value) if isinstance(value, list) else value
+    return replace(policy, **held)

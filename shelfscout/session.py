@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Folders written inside each open ``scratch`` block, innermost last.
+_written: list[list[str]] = []
 
 
 def local_session(
@@ -61,5 +65,28 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _written:
+        _written[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what ``materialise`` wrote inside it, and nothing else.
+
+    For jobs that leave tables behind; a frame read from those folders is of no
+    use afterwards.
+    """
+    _written.append([])
+    try:
+        yield
+    finally:
+        for path in _written.pop():
+            remove_folder(spark, path)

@@ -5,26 +5,34 @@ is Parquet partitioned by ``snapshot_date``, every source column as text plus
 three lineage columns. What is loaded is read from the destination itself, so
 there is no separate state to fall out of step.
 
+Line layout is a property of the feed, stated by the caller and the same at any
+file size. Rows end in LF or CRLF; a carriage return anywhere else stops the load.
+With ``multi_line`` quoted values may hold line breaks and a file is one task's
+work; without it, the default, files are read in splits and a quoted line break
+stops the load.
+
 Unquoted empty CSV fields arrive as NULL rather than ''; staging treats both the same.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfscout.functions.cleaning import row_hash
+from shelfscout.session import remove_folder
+
 # Error conditions that mean "nothing written there yet".
 NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 # Fixed value: layout of an export file name.
 SNAPSHOT_FILE = r"^crm_(\w+)_(\d{4}-\d{2}-\d{2})\.csv$"
 FEEDS = ("accounts", "contacts", "opportunities")
-# Up to this size a file is one task's work anyway.
-WHOLE_FILE_BYTES = 128 * 1024**2
-LINEAGE = ("snapshot_date", "_source_file", "_loaded_at")
+LINEAGE = ("snapshot_date", "_source_file", "_loaded_at", "_row_hash")
 
 
 class SnapshotError(RuntimeError):
@@ -86,9 +94,27 @@ def loaded_snapshots(spark: SparkSession, table: str) -> DataFrame:
     return files.select(night).distinct()
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one CSV file; only its first line is read."""
-    return spark.read.option("header", True).csv(path).columns
+def csv_options(multi_line: bool) -> dict[str, str]:
+    """How every reader of exports reads them: header, batch and stream.
+
+    ``enforceSchema`` off compares every file's header with the columns, names
+    and order; by default Spark would silently swap reordered columns. A row with
+    too few or too many fields fails the load rather than losing a value.
+    """
+    return {
+        "header": "true",
+        "enforceSchema": "false",
+        "multiLine": str(multi_line).lower(),
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+        "mode": "FAILFAST",
+    }
+
+
+def header_of(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
+    """Column names of one CSV file; only its first row is read."""
+    return spark.read.options(**csv_options(multi_line)).csv(path).columns
 
 
 def raw_schema(columns: list[str]) -> T.StructType:
@@ -96,45 +122,40 @@ def raw_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def has_broken_lines(spark: SparkSession, paths: list[str]) -> bool:
-    """Whether some quoted value holds a line break: then a line exists whose
-    quotes do not pair up. Reads the files as plain lines, in splits."""
-    value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    return not spark.read.text(paths).where(quotes % 2 == 1).isEmpty()
+def layout_breaches(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
+    """Lines that break the stated layout, with file and reason. Reads plain lines, in splits."""
+    line = F.regexp_replace("value", "\r$", "")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    reason = F.when(F.contains(line, F.lit("\r")), "a carriage return that ends no row")
+    if not multi_line:
+        reason = reason.when(quotes % 2 == 1, "a line break inside a quoted value; the feed needs multi_line")
+    lines = spark.read.option("lineSep", "\n").text(paths)
+    return lines.select(F.col("_metadata.file_path").alias("file"), reason.alias("reason")).where("reason is not null")
+
+
+def check_layout(spark: SparkSession, paths: list[str], multi_line: bool = False) -> None:
+    breach = layout_breaches(spark, paths, multi_line).first()
+    if breach:
+        raise SnapshotError(f"{breach.file}: {breach.reason}")
 
 
 def read_snapshot_csv(
-    spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool = True
+    spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool = False
 ) -> DataFrame:
-    """All files in one scan, values untouched.
-
-    ``enforceSchema=False`` compares every file's header with ``columns``, names
-    and order; by default Spark would silently swap reordered columns. A row with
-    too few or too many fields fails the load rather than losing a value. With
-    ``multi_line`` a file is read by one task, without it in splits.
-    """
-    return (
-        spark.read.schema(raw_schema(columns))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("mode", "FAILFAST")
-        .csv(paths)
-    )
+    """All files in one scan, values untouched."""
+    return spark.read.schema(raw_schema(columns)).options(**csv_options(multi_line)).csv(paths)
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
-    """Night, file and load time of every row, from the file itself."""
+    """Night, file and load time of every row, from the file itself, and a hash
+    of the row, which later settles ties without reading its columns."""
     uri = F.col("_metadata.file_path")
     return df.select(
         *df.columns,
         require_snapshot_date(uri).alias("snapshot_date"),
         uri.alias("_source_file"),
         F.current_timestamp().alias("_loaded_at"),
+        row_hash(df.columns).alias("_row_hash"),
     )
 
 
@@ -163,14 +184,14 @@ def reconcile(spark: SparkSession, table: str, nights: list[dt.date], sent: int)
 
 
 def sync_feed(
-    spark: SparkSession, root: str, feed: str, table: str, whole_file_bytes: int = WHOLE_FILE_BYTES
+    spark: SparkSession, root: str, feed: str, table: str, multi_line: bool = False
 ) -> int:
     """Load the nights of one feed that ``table`` lacks; returns how many.
 
-    One job for the whole gap. Only nights and paths reach the driver. The write
-    replaces whole nights, so repeating a broken run cannot duplicate rows. Files
-    above ``whole_file_bytes`` are read in splits, unless a quick pass finds line
-    breaks inside values.
+    One job for the whole gap, written beside the destination and counted there;
+    only what adds up is published, night by night as a whole. A load that stops
+    anywhere before that leaves the destination as it was, and the next run loads
+    the same nights. Only nights and paths reach the driver.
     """
     offered = list_snapshots(spark, root, feed)
     gap = missing_snapshots(offered, loaded_snapshots(spark, table)).collect()
@@ -179,21 +200,31 @@ def sync_feed(
     nights, paths = [row.snapshot_date for row in gap], [row.uri for row in gap]
     if len(set(nights)) != len(nights):
         raise SnapshotError(f"{feed}: several files for one night")
-    columns = header_of(spark, paths[0])
+    check_layout(spark, paths, multi_line)
+    columns = header_of(spark, paths[0], multi_line)
     check_destination_columns(spark, table, columns)
     sent = Observation()
-    small = max(row.length for row in gap) <= whole_file_bytes
-    multi_line = small or has_broken_lines(spark, paths)
     rows = with_lineage(read_snapshot_csv(spark, paths, columns, multi_line))
+    incoming = f"{table.rstrip('/')}_incoming/{uuid.uuid4().hex}"
+    try:
+        counted = rows.observe(sent, F.count(F.lit(1)).alias("row_count"))
+        counted.write.partitionBy("snapshot_date").parquet(incoming)
+        if sent.get["row_count"]:
+            reconcile(spark, incoming, nights, sent.get["row_count"])
+            publish(spark.read.schema(rows.schema).parquet(incoming), table)
+    finally:
+        remove_folder(spark, incoming)
+    return len(nights)
+
+
+def publish(rows: DataFrame, table: str) -> None:
+    """Put whole nights in place; nights that are there already are replaced."""
     (
-        rows.observe(sent, F.count(F.lit(1)).alias("row_count"))
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date")
         .parquet(table)
     )
-    reconcile(spark, table, nights, sent.get["row_count"])
-    return len(nights)
 
 
 def snapshot_counts(df: DataFrame) -> DataFrame:

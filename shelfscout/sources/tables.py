@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscout.policy import SCAN_CEILING_BYTES
+
+BUCKETS = 64
 
 
 class ScanBudgetError(RuntimeError):
@@ -25,48 +26,57 @@ def build_table(
     table: str,
     force: bool = False,
     key: str | None = None,
+    buckets: int = BUCKETS,
 ) -> bool:
     """Build a derived table unless it exists; True if it was built. With a
-    ``key`` it is laid out for joins on that key."""
+    ``key`` it is laid out for joins on that key, in as many ``buckets`` as keep
+    one of them small enough for a task."""
     if spark.catalog.tableExists(table) and not force:
         return False
     if key:
-        write_clustered(build(), table, key)
+        write_clustered(build(), table, key, buckets)
     else:
         build().write.mode("overwrite").saveAsTable(table)
     return True
 
 
-def selected_bytes(spark: SparkSession, path: str, glob: str | None = None) -> int:
-    """Size of the input files, from the listing alone."""
+def selected_bytes(
+    spark: SparkSession, path: str, glob: str | None = None, condition: Column | None = None
+) -> int:
+    """Size of the input files. Without a condition from the listing alone; with
+    one, of the Parquet files that hold rows it selects, whole files at a time:
+    partitions it rules out are not opened, of the rest only its columns are read."""
+    if condition is not None:
+        files = spark.read.parquet(path).where(condition).select("_metadata.file_path", "_metadata.file_size")
+        return files.distinct().agg(F.sum("file_size").alias("total")).first().total or 0
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         listing = listing.option("pathGlobFilter", glob)
-    total = listing.load(path).agg(F.sum("length").alias("total")).first().total
-    return total or 0
+    return listing.load(path).agg(F.sum("length").alias("total")).first().total or 0
 
 
-def check_budget(selected: int, ceiling: int = SCAN_CEILING_BYTES) -> None:
-    if selected > ceiling:
+def check_budget(selected: int, ceiling: int, path: str = "the input") -> None:
+    """A ceiling of 0 means none."""
+    if ceiling and selected > ceiling:
         raise ScanBudgetError(
-            f"Refusing to run: would scan {selected / 1024**3:.2f} GB, "
-            f"ceiling is {ceiling / 1024**3:.2f} GB"
+            f"{path}: {selected:,} bytes selected, {ceiling:,} allowed; raise scan_ceiling_bytes or select less"
         )
 
 
 def check_scan_budget(
-    spark: SparkSession, path: str, ceiling: int = SCAN_CEILING_BYTES, glob: str | None = None
+    spark: SparkSession,
+    path: str,
+    ceiling: int,
+    glob: str | None = None,
+    condition: Column | None = None,
 ) -> int:
-    """Refuse a job before it starts; returns the bytes it would read.
-
-    Point ``path`` at the partitions the job selects: the check sees files, not filters.
-    """
-    selected = selected_bytes(spark, path, glob)
-    check_budget(selected, ceiling)
+    """Stop a job before it starts; returns the bytes of the files it would read."""
+    selected = selected_bytes(spark, path, glob, condition)
+    check_budget(selected, ceiling, path)
     return selected
 
 
-def write_clustered(df: DataFrame, table: str, key: str, buckets: int = 64) -> None:
+def write_clustered(df: DataFrame, table: str, key: str, buckets: int = BUCKETS) -> None:
     """Create or replace a table bucketed and sorted by its join key, so that
     joins and groupings on the key need no shuffle."""
     (

@@ -6,32 +6,54 @@ The state is the stream's checkpoint, so this is an alternative to
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfscout.sources.snapshots import raw_schema, with_lineage
+from shelfscout.sources.snapshots import (
+    LINEAGE,
+    NO_TABLE,
+    SnapshotError,
+    check_destination_columns,
+    csv_options,
+    raw_schema,
+    with_lineage,
+)
 
 
 def snapshot_stream(
-    spark: SparkSession, root: str, feed: str, columns: list[str], multi_line: bool = True
+    spark: SparkSession, root: str, feed: str, columns: list[str], multi_line: bool = False
 ) -> DataFrame:
-    """New files of one feed, all text, with lineage. Switch ``multi_line`` off for
-    huge files whose values hold no line breaks: they are then read in splits."""
+    """New files of one feed, all text, with lineage; line layout as for the batch load."""
     files = (
         spark.readStream.schema(raw_schema(columns))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
+        .options(**csv_options(multi_line))
         .option("pathGlobFilter", f"crm_{feed}_*.csv")
         .csv(root)
     )
     return with_lineage(files)
 
 
+def _held(spark: SparkSession, table: str) -> int:
+    try:
+        return spark.read.parquet(table).count()
+    except AnalysisException as problem:
+        if problem.getCondition() in NO_TABLE:
+            return 0
+        raise
+
+
 def run_available(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Load whatever has arrived, exactly once, then stop."""
+    """Load whatever has arrived, exactly once, then stop.
+
+    Like the batch load it refuses columns the destination does not have, and
+    counts the destination again afterwards. The recount covers runs whose
+    progress Spark still remembers (``spark.sql.streaming.numRecentProgressUpdates``
+    batches, 100 by default).
+    """
+    spark = stream.sparkSession
+    check_destination_columns(spark, table, [c for c in stream.columns if c not in LINEAGE])
+    before = _held(spark, table)
     query = (
         stream.writeStream.format("parquet")
         .partitionBy("snapshot_date")
@@ -41,4 +63,9 @@ def run_available(stream: DataFrame, table: str, checkpoint: str) -> StreamingQu
         .start()
     )
     query.awaitTermination()
+    progress = query.recentProgress
+    remembered = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    sent, landed = sum(one["numInputRows"] for one in progress), _held(spark, table) - before
+    if len(progress) < remembered and sent != landed:
+        raise SnapshotError(f"{table}: the stream sent {sent:,} rows, {landed:,} landed")
     return query

@@ -60,11 +60,10 @@ DETAIL = (
 )
 
 def _dedup(source: str, key: str, fields: str) -> str:
-    """One raw row per cleaned key and night; a hash of all its texts settles ties."""
-    texts = ", ".join(f"coalesce({c}, chr(30))" for c in sorted(fields.split()))
+    """One raw row per cleaned key and night; its columns, by name, settle ties."""
+    texts = ", ".join(f"{c} nulls first" for c in sorted(fields.split()))
     return f"""select * from {source} qualify row_number() over (
-        partition by {_clean(key)}, snapshot_date
-        order by _loaded_at desc, md5(concat_ws(chr(31), {texts}))) = 1"""
+        partition by {_clean(key)}, snapshot_date order by _loaded_at desc, {texts}) = 1"""
 
 
 def _mart_ctes(suffix: str, policy) -> dict[str, str]:

@@ -387,9 +387,7 @@ def duplicates_agree(bed: Bed) -> DataFrame:
 
 @query
 def parse_failures(bed: Bed) -> DataFrame:
-    dates = quality.dates_parse(bed.accounts_raw, bed.opportunities_raw)
-    money = quality.money_parses(bed.accounts_raw, bed.opportunities_raw)
-    return dates.unionByName(money, allowMissingColumns=True)
+    return quality.all_parse_failures(bed.accounts_raw, bed.opportunities_raw)
 
 
 @query
@@ -454,7 +452,7 @@ def check_suite(bed: Bed) -> DataFrame:
     )
     models = quality.Models(
         accounts_raw=bed.accounts_raw,
-        opportunities_raw=bed.opportunities_raw,
+        failures=materialise(parse_failures(bed), "failures"),
         accounts=bed.accounts,
         opportunities=bed.opportunities,
         contacts=bed.contacts,

@@ -82,6 +82,17 @@ def test_fingerprint_tells_missing_from_shifted(spark):
     assert len(set(prints)) == 3
 
 
+def test_fingerprint_holds_separators_apart(spark):
+    pairs = [("x\x1fy", "z"), ("x", "y\x1fz"), ("\x1e", "a"), (None, "a"), ("null", "a"), ('x","c1":"y', "z"), ("", "a")]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    prints = [r[0] for r in df.select(cleaning.row_fingerprint(["x", "y"])).collect()]
+    # Only the missing and the empty text are one value once cleaned.
+    assert len(set(prints)) == len(pairs) - 1
+    assert prints[3] == prints[6]
+    hashes = [r[0] for r in df.select(cleaning.row_hash(["x", "y"])).collect()]
+    assert len(set(hashes)) == len(pairs)
+
+
 def classified(spark, names, policy):
     df = spark.createDataFrame([(n,) for n in names], "category_name string")
     found = categories.classify(df, policy).collect()

@@ -1,11 +1,15 @@
 """From files on disk to the ranked table, with the default policy."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 
 from shelfscout import TargetingPolicy, jobs
+from shelfscout.operators.latest import latest_date
+from shelfscout.plans import crm, market, staging
+from shelfscout.session import materialise, shared_folder
 from shelfscout.sources.snapshots import SnapshotError
 from shelfscout.sources.tables import ScanBudgetError
 
@@ -79,6 +83,7 @@ def test_from_files_to_list(spark, landing, sales, catalogue, tmp_path):
     assert jobs.build_market(spark, sales, "market", policy, force=True) is True
     verdicts = jobs.build_targets(spark, raw, "market", "product_catalogue", "mart", policy)
     assert verdicts.count() == 65
+    assert rows(verdicts) == rows(spark.table("mart_checks"))
     assert rows(verdicts.where("not passed")) == []
     found = [tuple(r) for r in spark.table("mart").orderBy("target_rank")
              .select("account_id", "evidence_tier", "relationship_penalty", "contact_email").collect()]
@@ -107,3 +112,88 @@ def test_the_rollup_respects_its_ceiling(spark, sales):
     with pytest.raises(ScanBudgetError):
         jobs.build_market(spark, sales, "never_built", TargetingPolicy(scan_ceiling_bytes=10))
     assert not spark.catalog.tableExists("never_built")
+
+
+def test_the_market_table_keeps_its_layout(spark, sales):
+    """No exchange under the store pivot, whatever the broadcast limit."""
+    assert jobs.build_market(spark, sales, "laid_out", TargetingPolicy(), buckets=4)
+    staged = staging.stage_market(spark.table("laid_out"), normalised=True)
+    assert "Exchange" not in plan(market.store_recent_sales(staged, TargetingPolicy()))
+
+
+def test_the_contact_join_does_not_move_accounts_again(spark, landing, tmp_path):
+    raw = str(tmp_path / "raw")
+    jobs.sync_crm(spark, str(landing), raw)
+    staged = {feed: jobs.stage_feed(spark, raw, feed) for feed in ("accounts", "contacts", "opportunities")}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        night = latest_date(staged["accounts"])
+        current = crm.accounts_current(staged["accounts"], staged["opportunities"], night)
+        people = materialise(crm.primary_contact(staged["contacts"], TargetingPolicy(), night), "people")
+        alone = plan(current).count("Exchange hashpartitioning(account_id")
+        joined = plan(current.join(people, "account_id", "left")).count("Exchange hashpartitioning(account_id")
+        assert joined == alone + 1  # the contacts' own
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_history_is_staged_once(spark, landing, tmp_path, monkeypatch):
+    raw = str(tmp_path / "raw")
+    jobs.sync_crm(spark, str(landing), raw)
+    first = jobs.stage_feed(spark, raw, "accounts")
+    stamps = {r[0] for r in first.select("_metadata.file_path").distinct().collect()}
+    (landing / "crm_accounts_2026-05-03.csv").write_text(f"{ACCOUNTS}\n{account(7)}\n")
+    jobs.sync_crm(spark, str(landing), raw, feeds=("accounts",))
+    again = jobs.stage_feed(spark, raw, "accounts")
+    assert stamps < {r[0] for r in again.select("_metadata.file_path").distinct().collect()}
+    assert again.where("snapshot_date = '2026-05-03'").count() == 1
+    restaged = jobs.stage_feed(spark, raw, "accounts", restage=True)
+    fresh = staging.stage_accounts(spark.read.parquet(f"{raw}/accounts_snapshots"))
+    assert rows(restaged.select(*fresh.columns)) == rows(fresh)
+
+
+def test_staging_reads_only_what_is_asked_for(spark, landing, tmp_path):
+    raw = str(tmp_path / "raw")
+    jobs.sync_crm(spark, str(landing), raw)
+    staged = staging.stage_opportunities(spark.read.parquet(f"{raw}/opportunities_snapshots"))
+    scanned = plan(crm.opportunity_rollup(staged)).split("ReadSchema: struct<")[1].split(">")[0]
+    assert {field.split(":")[0] for field in scanned.split(",")} == {
+        "opportunity_id", "account_id", "stage", "last_activity_date", "value_gbp", "_loaded_at", "_row_hash",
+    }
+
+
+def test_a_build_leaves_no_intermediates(spark, landing, sales, catalogue, tmp_path):
+    raw = str(tmp_path / "raw")
+    jobs.sync_crm(spark, str(landing), raw, catalogue=catalogue)
+    jobs.build_market(spark, sales, "tidy_market", TargetingPolicy())
+    before = set(Path(shared_folder(spark).removeprefix("file:")).iterdir())
+    verdicts = jobs.build_targets(spark, raw, "tidy_market", "product_catalogue", "tidy_mart", TargetingPolicy())
+    assert verdicts.count() == 65
+    assert set(Path(shared_folder(spark).removeprefix("file:")).iterdir()) == before
+
+
+def test_every_choice_can_be_made_on_the_command_line(spark, landing, sales, catalogue, tmp_path, capsys):
+    raw, choices = str(tmp_path / "raw"), tmp_path / "policy.json"
+    choices.write_text('{"window_years": [2020], "premium_floor": 5000, "categories": {"premium": ["IMPORTED GINS"]}}')
+    assert jobs.main(["sync", str(landing), raw, "--catalogue", catalogue]) == 0
+    market_args = ["market", sales, "chosen_market", "--policy", str(choices), "--set", 'sales_start="2019-01-01"']
+    with pytest.raises(ScanBudgetError, match="scan_ceiling_bytes"):
+        jobs.main([*market_args, "--set", "scan_ceiling_bytes=1"])
+    assert jobs.main([*market_args, "--estimate"]) == 0
+    assert jobs.main([*market_args, "--set", "scan_ceiling_bytes=0", "--buckets", "2"]) == 0
+    target_args = ["targets", raw, "chosen_market", "product_catalogue", "chosen_mart", "--policy", str(choices)]
+    more = ["--set", "exclude_closed_lost=true", "--set", "list_size=1", "--set", 'sales_start="2019-01-01"']
+    assert jobs.main([*target_args, *more]) == 0
+    assert "built" in capsys.readouterr().out
+    found = [tuple(r) for r in spark.table("chosen_mart").orderBy("target_rank")
+             .select("account_id", "evidence_tier", "is_top_target").collect()]
+    assert found == [("ACC-1", 4, True), ("ACC-3", 4, False)]
+
+
+def test_policy_from_json():
+    policy = TargetingPolicy.from_json('{"window_years": [2020, 2021], "categories": {"other_group": "REST"}}')
+    assert (policy.window_years, policy.categories.other_group) == ((2020, 2021), "REST")
+    assert policy.categories.premium == TargetingPolicy().categories.premium
+    with pytest.raises(ValueError, match="no such policy field"):
+        TargetingPolicy.from_json('{"premium_flor": 1}')

@@ -80,6 +80,24 @@ def test_rollup_missing_amounts(rollup):
     assert (row.net_sale_dollars, row.order_lines, row.net_bottles) == (Decimal("10.00"), 2, 2)
 
 
+def test_rollup_sums_are_exact(spark):
+    """Small amounts add up, fractional units count, wide decimals keep every digit."""
+    small = spark.range(1000).select(
+        F.lit("1").alias("store_number"), *[F.lit("x").alias(c) for c in market.STORE_ATTRIBUTES],
+        F.lit(D(2024, 1, 1)).alias("date"), F.lit("RUM").alias("category_name"),
+        F.lit(0.004).alias("sale_dollars"), F.lit(0.5).alias("bottles_sold"), F.lit(0.0004).alias("volume_sold_liters"),
+    )
+    (row,) = market.sales_rollup(small, POLICY).collect()
+    assert (row.net_sale_dollars, row.gross_sale_dollars, row.net_volume_liters, row.net_bottles) == (
+        Decimal("4"), Decimal("4"), Decimal("0.4"), Decimal("500"),
+    )
+    wide = small.limit(3).withColumn("sale_dollars", F.lit("90071992547409931.01").cast("decimal(28,2)"))
+    (row,) = market.sales_rollup(wide, POLICY).collect()
+    assert row.net_sale_dollars == Decimal("270215977642229793.03")
+    odd = small.limit(2).withColumn("sale_dollars", F.lit(float("nan")))
+    assert market.sales_rollup(odd, POLICY).first().net_sale_dollars is None
+
+
 def test_rollup_pushes_the_date_and_reads_only_its_columns(spark, sales, tmp_path):
     path = str(tmp_path / "sales")
     sales.withColumn("invoice", F.lit("x")).write.parquet(path)
@@ -400,23 +418,24 @@ def test_duplicates_agree(spark, accounts_raw):
 def test_parse_failures(spark, accounts_raw, opportunities_raw):
     bad = raw(spark, ACCOUNT_COLUMNS, [{"account_id": "A9", "contract_start_date": "2023-01-24",
                                         "created_date": "24/01/2023", "last_activity_date": "2023-01-24"}])
-    found = quality.dates_parse(accounts_raw.unionByName(bad), opportunities_raw)
+    found = quality.date_failures(quality.all_parse_failures(accounts_raw.unionByName(bad), opportunities_raw))
     assert rows(found.select("source_table", "source_column", "expected_format", "unparseable_value")) == [
         ("accounts_snapshots", "contract_start_date", "uk", "2023-01-24"),
         ("accounts_snapshots", "created_date", "iso", "24/01/2023"),
     ]
-    money = quality.money_parses(accounts_raw, opportunities_raw)
+    failures = quality.all_parse_failures(accounts_raw, opportunities_raw)
+    money = quality.money_failures(failures)
     assert rows(money.select("source_table", "source_column", "unparseable_value")) == [
         ("opportunities_snapshots", "value_gbp", "x")
     ]
-    assert plan(quality.date_failures(opportunities_raw, "opportunities")).count("Scan") == 1
+    assert plan(failures).count("Scan") == 2
 
 
 def suite_of(accounts_raw, opportunities_raw, contacts_raw, rollup, current, people, stores, mart, products):
     return quality.declared_checks(
         quality.Models(
             accounts_raw=accounts_raw,
-            opportunities_raw=opportunities_raw,
+            failures=quality.all_parse_failures(accounts_raw, opportunities_raw),
             accounts=staging.stage_accounts(accounts_raw),
             opportunities=staging.stage_opportunities(opportunities_raw),
             contacts=staging.stage_contacts(contacts_raw),
