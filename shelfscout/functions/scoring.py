@@ -10,7 +10,6 @@ from shelfscout.functions.display import fmt_int, fmt_plain_int
 from shelfscout.policy import TargetingPolicy
 
 
-
 def safe_ratio(a: Column | str, b: Column | str) -> Column:
     """Ratio as double, NULL on a zero or missing denominator."""
     top, bottom = (F.col(c) if isinstance(c, str) else c for c in (a, b))
@@ -158,8 +157,7 @@ def _relationship_text() -> Column:
 
 
 def rank_rationale(policy: TargetingPolicy) -> Column:
-    """Why the account ranks where it does. Every part is NULL-safe: one NULL
-    would blank the sentence on exactly the thin rows that need it."""
+    """Why the account ranks where it does, in three parts, none of them ever NULL."""
     return F.concat_ws(
         "; ",
         F.concat(
