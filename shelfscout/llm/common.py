@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,22 +45,3 @@ def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -
         kept = kept.distinct()
     found = F.col("__id").eqNullSafe(F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key"))
     return keyed.join(kept, found, "left_semi").select(*[F.col(f"`{name}`") for name in names])
-
-
-def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Rows as Arrow batches of a schema."""
-    held: list[tuple] = []
-
-    def flush() -> pa.RecordBatch:
-        columns = list(zip(*held, strict=True))
-        return pa.record_batch(
-            [pa.array(column, field.type) for column, field in zip(columns, schema, strict=True)], schema=schema
-        )
-
-    for row in rows:
-        held.append(row)
-        if len(held) >= size:
-            yield flush()
-            held.clear()
-    if held:
-        yield flush()

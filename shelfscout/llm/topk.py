@@ -151,7 +151,8 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
 
     index = materialise(rows.select("vec_id", "v").mapInArrow(keyed, "vec_id long, v binary, cell long, distance double"), "index")
     # One row per cell: pivots times rings at most.
-    cells = index.groupBy("cell").agg(F.min("distance").alias("low"), F.max("distance").alias("high"), F.count(F.lit(1)).alias("rows")).orderBy("cell").collect()
+    span = (F.min("distance").alias("low"), F.max("distance").alias("high"), F.count(F.lit(1)).alias("rows"))
+    cells = index.groupBy("cell").agg(*span).orderBy("cell").collect()
     cell = np.array([x.cell for x in cells], int)
     low, high = (np.array([x[name] for x in cells], float) for name in ("low", "high"))
     parts_of = {x.cell: -(-x.rows // BLOCK) for x in cells}
