@@ -44,6 +44,14 @@ PIECES = pa.schema(
 )
 
 
+def spaced(text: str) -> list[str]:
+    """The text cut at ``SPACE``. Where all white space is single spaces, which most
+    texts are, plain splitting does it in half the time."""
+    words = text.split(" ")
+    plain = "" not in words and list(map(str.strip, words)) == words
+    return words if plain else SPACE.split(text)
+
+
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit integers.
 
@@ -82,7 +90,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._whole(texts)
-        cut = [SPACE.split(text) if text else [] for text in texts]
+        cut = [spaced(text) if text else [] for text in texts]
         heads = iter(self._whole([words[0] for words in cut if words]))
         tails = [words[1:] for words in cut]
         if len(self.memo) > REMEMBERED:

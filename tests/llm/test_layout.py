@@ -122,6 +122,11 @@ ODD = [
 ]
 
 
+@pytest.mark.parametrize("text", [*filter(None, ODD), "a b", " a", "a ", "a\n b", "a \nb", "a\nb c", "a\u3000 b", "\x1f a b"])
+def test_texts_are_cut_at_single_spaces(text):
+    assert packing.spaced(text) == packing.SPACE.split(text)
+
+
 @pytest.mark.parametrize("at_once", [1 << 20, 50])
 def test_pieces_hold_every_id_once(spark, monkeypatch, at_once):
     monkeypatch.setattr(packing, "AT_ONCE", at_once)
