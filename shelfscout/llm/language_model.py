@@ -2,9 +2,9 @@
 
 A text is coded as binary decisions. Frequent words are leaves of a Huffman
 tree; any other word is an escape followed by its bytes in a second tree. For
-each decision four predictors look up how often 0 and 1 followed: in the node
-alone, and in three hashed contexts of the node with words or bytes that stand
-before. Their stretched probabilities are summed with weights that a gate picks
+each decision several predictors look up how often 0 and 1 followed: in the node
+alone, and in hashed contexts of the node with words (two) or bytes (three) that
+stand before. Their stretched probabilities are summed with weights that a gate picks
 by how much evidence each context has, and the sum is refined by a table of what
 really happened at such sums. A text's bits are the sum over its decisions.
 
@@ -20,8 +20,8 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import repeat
+from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,45 +32,55 @@ from pyspark.sql import functions as F
 from shelfscout.llm.common import text_of, words_of
 from shelfscout.session import materialise
 
-ORDERS = 3
+# Hashed contexts of a word's decisions, and of a byte's.
+WORD_CONTEXTS, BYTE_CONTEXTS = 2, 3
 # Added to both counts of a context; symbols and characters worked on at a time.
 PRIOR = np.float32(0.4)
-SYMBOLS, RENEWED, AT_ONCE = 1 << 13, 1 << 19, 1 << 20
+SYMBOLS, AT_ONCE = 1 << 13, 1 << 20
+# Symbols after which derived tables are renewed: at first, and at most (it doubles).
+EARLY, LATE = 1 << 15, 1 << 21
+# Weights and refinement follow one decision in so many; counts follow all.
+FOLLOWED = 8
 # Words a counting task holds before it passes them on.
 HELD = 1 << 20
 # The most frequent words, the last of which is a context of every word.
 MARKERS = 32
-# Evidence classes of a context: none, 1-2, 3-8, more. One gate per combination and tree.
+# Evidence classes of a context: none, 1-2, 3-8, more. One gate per combination.
 CLASSES = np.array([0, 1, 1, 2, 2, 2, 2, 2, 2, 3], np.uint16)
-GATES = 2 * 4**ORDERS
-STEPS, REACH = 49, 12.0  # refinement: points, and the largest sum they span
+STEPS, REACH = 97, 12.0  # refinement: points, and the largest sum they span
 LEVELS = 255  # a context's stretched probability is held in one byte
-STRETCHED = np.linspace(-REACH, REACH, LEVELS + 1, dtype=np.float32)
+STRETCHED = np.tile(np.linspace(-REACH, REACH, LEVELS + 1, dtype=np.float32), 4)  # by code, whatever its class
 FAITH = 20.0  # decisions' worth of trust in the unrefined probability
 PACE = 0.25  # part of a diagonal Newton step the weights take
 BLOCK = 1 << 13  # slots that travel together
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))  # odd multipliers
 
 
-def huffman(counts: list[int]) -> list[list[tuple[int, int]]]:
-    """For each symbol its path as (node, bit) from the root; nodes are numbered from 0."""
+def huffman(counts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Path lengths of the symbols; nodes and bits of all paths, from the root, one
+    symbol after another; for each node, numbered from 0, how often 0 and 1 follow."""
+    size = len(counts)
     heap = [(count, i) for i, count in enumerate(counts)]
     heapq.heapify(heap)
-    parent: dict[int, tuple[int, int]] = {}
-    made = len(counts)
-    while len(heap) > 1:
+    above, side, follow = np.full(2 * size - 1, -1), np.zeros(2 * size - 1, np.int8), []
+    for made in range(size, 2 * size - 1):
         (a, left), (b, right) = heapq.heappop(heap), heapq.heappop(heap)
-        parent[left], parent[right] = (made, 0), (made, 1)
+        above[[left, right]] = made
+        side[right] = 1
         heapq.heappush(heap, (a + b, made))
-        made += 1
-    paths = []
-    for symbol in range(len(counts)):
-        path, at = [], symbol
-        while at in parent:
-            at, bit = parent[at]
-            path.append((at - len(counts), bit))
-        paths.append(path[::-1])
-    return paths
+        follow += [a, b]
+    lengths, at = np.zeros(size, np.int64), np.arange(size)
+    while (up := above[at] >= 0).any():
+        lengths += up
+        at = np.where(up, above[at], at)
+    nodes, bits = np.zeros(int(lengths.sum()), np.int32), np.zeros(int(lengths.sum()), np.int8)
+    last, at = np.cumsum(lengths) - 1, np.arange(size)
+    for step in range(int(lengths.max())):
+        up = lengths > step
+        nodes[(last - step)[up]] = above[at[up]] - size
+        bits[(last - step)[up]] = side[at[up]]
+        at = np.where(up, above[at], at)
+    return lengths, nodes, bits, np.array(follow, np.int64)
 
 
 class Coder:
@@ -87,24 +97,27 @@ class Coder:
             for byte in word:
                 letters[byte] += count
         lower = huffman([*[letters[byte] + 1 for byte in range(256)], sum(counts) + 1])
-        self.word_nodes = len(upper) - 1
-        self.nodes_count = self.word_nodes + 256
-        paths = upper + [[(node + self.word_nodes, bit) for node, bit in path] for path in lower]
-        self.lengths = np.array([len(path) for path in paths], np.int64)
+        self.word_counts = np.minimum(upper[-1], 2**32 - 1).astype(np.uint32)
+        self.lengths, self.nodes, self.bits = (np.concatenate([upper[i], lower[i]]) for i in range(3))
         self.offsets = np.cumsum(self.lengths) - self.lengths
-        self.nodes = np.array([node for path in paths for node, _ in path], np.int64)
-        self.bits = np.array([bit for path in paths for _, bit in path], np.int8)
         self.index: dict[bytes | None, int] = {}
 
-    def symbols(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """All texts' symbols, one after another, and where each text starts."""
+    def tokens(self, texts: list[list[bytes]]) -> tuple[list[bytes | None], np.ndarray, np.ndarray]:
+        """All texts' words, each text closed by its end (None); their symbols, -1 if spelled; where texts start."""
         if not self.index:
             self.index = {word: i for i, word in enumerate(self.words)} | {None: self.end}
         flat = [word for words in texts for word in (*words, None)]
         known = np.fromiter(map(self.index.get, flat, repeat(-1)), np.int64, len(flat))
-        spelled = [flat[i] for i in np.flatnonzero(known < 0)]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        return flat, known, np.cumsum(sizes) - sizes
+
+    def symbols(
+        self, flat: list[bytes | None], known: np.ndarray, starts: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens' symbols, spelled words as escape, bytes and stop, and where texts start among them."""
+        spelled = list(compress(flat, (known < 0).tolist()))
         sizes = np.ones(len(flat), np.int64)
-        sizes[known < 0] = [len(word) + 2 for word in spelled]
+        sizes[known < 0] = np.fromiter(map(len, spelled), np.int64, len(spelled)) + 2
         places = np.cumsum(sizes) - sizes
         found = np.empty(int(sizes.sum()), np.int64)
         found[places] = np.where(known < 0, self.escape, known)
@@ -113,37 +126,31 @@ class Coder:
             within = np.arange(int(wide.sum())) - np.repeat(np.cumsum(wide) - wide, wide)
             found[np.repeat(first, wide) + within] = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64) + self.byte
             found[first + wide] = self.stop
-        ends = np.cumsum([len(words) + 1 for words in texts])
-        return found, places[np.r_[0, ends[:-1]].astype(np.int64)] if len(texts) else np.zeros(0, np.int64)
+        return found, places[starts]
 
-    def contexts(self, symbols: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        """Hashes of what stands before each symbol, within its text.
+    def contexts(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Hashes of what stands before each symbol, within its text: as contexts of words and of bytes.
 
-        Of a word: the last very frequent word, the word before, the two before.
-        Of a byte: the two, three and four symbols before.
+        Of a word: the last very frequent word, the word before. Of a byte: the
+        two, three and four symbols before.
         """
         before, shifted = [], symbols
-        for _ in range(ORDERS + 1):
+        for _ in range(4):
             shifted = np.r_[self.start, shifted[:-1]]
             shifted[starts] = self.start
             before.append(shifted.astype(np.uint64))
         at = np.arange(len(symbols))
         latest = np.r_[-1, np.maximum.accumulate(np.where(symbols < MARKERS, at, -1))[:-1]]
         marker = np.where(latest >= np.repeat(starts, np.diff(np.r_[starts, len(symbols)])), symbols[latest], self.start)
-        letter = symbols >= self.byte
         first, second, third, fourth = before
         pair = first * MIX[0] + second
         triple = pair * MIX[0] + third
-        found = [
-            np.where(letter, pair, marker.astype(np.uint64)),
-            np.where(letter, triple, first),
-            np.where(letter, triple * MIX[0] + fourth, pair),
-        ]
-        for order, mixed in enumerate(found):
-            mixed += np.uint64(order + 1)
-            mixed *= MIX[1]
-            mixed ^= mixed >> np.uint64(29)
-        return found
+        words, letters = [marker.astype(np.uint64), first], [pair, triple, triple * MIX[0] + fourth]
+        for found in (words, letters):
+            for order, mixed in enumerate(found):
+                found[order] = (mixed + np.uint64(order + 1)) * MIX[1]
+                found[order] ^= found[order] >> np.uint64(29)
+        return words, letters
 
 
 def derived(table: np.ndarray) -> np.ndarray:
@@ -171,61 +178,60 @@ def received_counts(payload: bytes, size: int) -> np.ndarray:
 
 @dataclass
 class Mixer:
-    """Counts of bits per node and per hashed context, weights per gate, and the refinement.
-
-    Predictions read tables derived from the counts, which ``refresh`` renews.
-    """
+    """Of one tree: counts of bits per node and per hashed context, weights per
+    gate, and the refinement. Predictions read tables derived from the counts,
+    which ``refresh`` renews."""
 
-    nodes: int
     slots: int
-    word_nodes: int
-    tables: list[np.ndarray] = field(default_factory=list)
-    weights: np.ndarray | None = None
-    evidence: np.ndarray | None = None
-    seen: np.ndarray | None = None  # per gate and step: decisions, and ones among them
-    fresh: int = 0  # symbols learned since the derived tables were renewed
+    contexts: int
+    alone: np.ndarray  # counts of the nodes
+    given: bool  # whether those are known beforehand
 
     def __post_init__(self) -> None:
-        if not self.tables:
-            self.tables = [np.zeros(2 * n, np.uint32) for n in (self.nodes, *[self.slots] * ORDERS)]
-            self.weights = np.full((ORDERS + 2, GATES), 0.35, np.float32)
-            self.weights[-1] = 0
-            self.evidence = np.full((ORDERS + 2, GATES), 50.0)
-            self.seen = np.zeros((2, GATES * STEPS))
+        self.gates = 4**self.contexts
+        self.tables = [self.alone, *[np.zeros(2 * self.slots, np.uint32) for _ in range(self.contexts)]]
+        self.weights = np.full((self.contexts + 2, self.gates), 0.35, np.float32)
+        self.weights[-1] = 0
+        self.evidence = np.full((self.contexts + 2, self.gates), 50.0)
+        self.seen = np.zeros((2, self.gates * STEPS))  # per gate and step: decisions, and ones among them
+        self.fresh, self.due = 0, EARLY  # symbols learned since the last renewal, and until the next
         self.refresh()
 
     def refresh(self) -> None:
         self.codes = [derived(table) for table in self.tables]
-        self.fresh = 0
+        self.refine()
+
+    def refine(self) -> None:
         steps = np.linspace(-REACH, REACH, STEPS)
-        prior = np.tile(1 / (1 + np.exp(-steps)), GATES)
+        prior = np.tile(1 / (1 + np.exp(-steps)), self.gates)
         self.refined = ((self.seen[1] + FAITH * prior) / (self.seen[0] + FAITH)).astype(np.float32)
 
-    def decisions(self, coder: Coder, symbols: np.ndarray, contexts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Bit and places in the tables of every decision of some symbols."""
+    def decisions(
+        self, coder: Coder, symbols: np.ndarray, contexts: list[np.ndarray]
+    ) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Bit and places in the tables of every decision of some symbols of one tree."""
         lengths = coder.lengths[symbols]
         at = np.arange(int(lengths.sum())) + np.repeat(coder.offsets[symbols] - (np.cumsum(lengths) - lengths), lengths)
-        node, bit = coder.nodes.take(at), coder.bits.take(at)
-        salt = (node.astype(np.uint64) + np.uint64(1)) * MIX[0]
-        # Words and bytes have half of the slots each.
-        shift = np.uint64(64 - (self.slots.bit_length() - 2))
-        half = (node >= self.word_nodes) * np.uint64(self.slots // 2)
+        node, bit = coder.nodes.take(at).astype(np.int64), coder.bits.take(at)
+        salt = (node.view(np.uint64) + np.uint64(1)) * MIX[0]
+        shift = np.uint64(64 - (self.slots.bit_length() - 1))
         places = [node]
         for context in contexts:
             place = np.repeat(context, lengths)
             place ^= salt
             place *= MIX[2]
             place >>= shift
-            place += half
             places.append(place.view(np.int64))
         return bit, places
 
-    def chances(self, places: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    def chances(
+        self, places: list[np.ndarray]
+    ) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
         """Mixed probability of a 1, its inputs, gate and refinement cell, and the refined probability."""
         codes = [table.take(place) for table, place in zip(self.codes, places, strict=True)]
-        inputs = [STRETCHED.take(code & 0xFF) for code in codes]
-        gate = (places[0] >= self.word_nodes).astype(np.uint16)
-        for code in codes[1:]:
+        inputs = [STRETCHED.take(code) for code in codes]
+        gate = codes[1] >> 8
+        for code in codes[2:]:
             gate *= 4
             gate += code >> 8
         gate = gate.astype(np.int64)
@@ -236,55 +242,88 @@ class Mixer:
         chance = 1 / (1 + np.exp(-total))
         total += np.float32(REACH)
         total *= np.float32((STEPS - 1) / (2 * REACH))
-        low = np.minimum(total.astype(np.int64), STEPS - 2)
-        part = total - low.astype(np.float32)
-        low += gate * STEPS
-        refined = self.refined.take(low)
-        refined += (self.refined.take(low + 1) - refined) * part
-        low += part > 0.5
-        return chance, inputs, gate, low, np.clip((chance + refined) / 2, 2**-20, 1 - 2**-20)
+        cell = np.rint(total).astype(np.int64)
+        cell += gate * STEPS
+        # Neither part is ever 0 or 1: sums are clipped, refined chances lean on their prior.
+        return chance, inputs, gate, cell, (chance + self.refined.take(cell)) / 2
+
+    def learn(self, coder: Coder, symbols: np.ndarray, contexts: list[np.ndarray]) -> None:
+        """Predict a block, correct weights and refinement, count it."""
+        bit, places = self.decisions(coder, symbols, contexts)
+        few = bit[::FOLLOWED]
+        chance, inputs, gate, cell, _ = self.chances([place[::FOLLOWED] for place in places])
+        miss, spread = few - chance, chance * (1 - chance)
+        for row, x in enumerate([*inputs, np.float32(1)]):
+            self.evidence[row] += np.bincount(gate, spread * x * x, self.gates)
+            step = PACE * np.bincount(gate, miss * x, self.gates) / self.evidence[row]
+            self.weights[row] += step.astype(np.float32)
+        self.seen[0] += np.bincount(cell, minlength=self.gates * STEPS)
+        self.seen[1] += np.bincount(cell, few, self.gates * STEPS)
+        for table, place in list(zip(self.tables, places, strict=True))[self.given :]:
+            np.add.at(table, 2 * place + bit, np.uint32(1))
+        self.fresh += len(symbols)
+        if self.fresh >= self.due:
+            self.refresh()
+            self.fresh, self.due = 0, min(2 * self.due, LATE)
+
+    def bits(self, coder: Coder, symbols: np.ndarray, contexts: list[np.ndarray]) -> np.ndarray:
+        """Bits of each symbol."""
+        bit, places = self.decisions(coder, symbols, contexts)
+        final = self.chances(places)[-1]
+        lengths = coder.lengths[symbols]
+        spent = -np.log2(np.where(bit, final, 1 - final))
+        return np.add.reduceat(spent, np.cumsum(lengths) - lengths, dtype=np.float64)
 
-    def learn(self, coder: Coder, texts: list[list[bytes]]) -> None:
-        """Take texts in, block by block: predict, correct weights and refinement, count.
 
-        Weights and refinement follow every fourth decision, the counts all. The
-        derived tables are renewed after every ``RENEWED`` symbols.
-        """
-        symbols, contexts, _ = self._coded(coder, texts)
-        for i in range(0, len(symbols), SYMBOLS):
-            bit, places = self.decisions(coder, symbols[i : i + SYMBOLS], [c[i : i + SYMBOLS] for c in contexts])
-            few = bit[::4]
-            chance, inputs, gate, cell, _ = self.chances([place[::4] for place in places])
-            miss, spread = few - chance, chance * (1 - chance)
-            for row, x in enumerate([*inputs, np.float32(1)]):
-                self.evidence[row] += np.bincount(gate, spread * x * x, GATES)
-                step = PACE * np.bincount(gate, miss * x, GATES) / self.evidence[row]
-                self.weights[row] += step.astype(np.float32)
-            self.seen[0] += np.bincount(cell, minlength=GATES * STEPS)
-            self.seen[1] += np.bincount(cell, few, GATES * STEPS)
-            for table, place in zip(self.tables, places, strict=True):
-                np.add.at(table, 2 * place + bit, np.uint32(1))
-            self.fresh += len(symbols[i : i + SYMBOLS])
-            if self.fresh >= RENEWED:
-                self.refresh()
+class Model:
+    """A mixer for the words' tree, whose nodes' counts follow from the words', and one for the bytes'."""
 
-    def text_bits(self, coder: Coder, texts: list[list[bytes]]) -> np.ndarray:
-        """Bits of each text."""
-        symbols, contexts, starts = self._coded(coder, texts)
+    def __init__(self, coder: Coder, slots: int):
+        self.mixers = [
+            Mixer(slots, WORD_CONTEXTS, coder.word_counts, given=True),
+            Mixer(slots // 2, BYTE_CONTEXTS, np.zeros(2 * 256, np.uint32), given=False),
+        ]
+
+    def _trees(
+        self, coder: Coder, symbols: np.ndarray, starts: np.ndarray
+    ) -> Iterator[tuple[Mixer, np.ndarray, list[np.ndarray]]]:
+        """Each tree's mixer, the places of its symbols, and the contexts there."""
+        letter = symbols >= coder.byte
+        for mixer, mine, contexts in zip(self.mixers, (~letter, letter), coder.contexts(symbols, starts), strict=True):
+            places = np.flatnonzero(mine)
+            yield mixer, places, [context[places] for context in contexts]
+
+    def learn(self, coder: Coder, texts: list[list[bytes]]) -> None:
+        """Take texts in, block by block."""
+        symbols, starts = coder.symbols(*coder.tokens(texts))
+        for mixer, places, contexts in self._trees(coder, symbols, starts):
+            for i in range(0, len(places), SYMBOLS):
+                part = slice(i, i + SYMBOLS)
+                mixer.learn(coder, symbols[places[part]], [context[part] for context in contexts])
+
+    def token_bits(
+        self, coder: Coder, flat: list[bytes | None], known: np.ndarray, starts: np.ndarray
+    ) -> np.ndarray:
+        """Bits of each text, given as tokens."""
+        symbols, begins = coder.symbols(flat, known, starts)
         costs = np.zeros(len(symbols))
-        for i in range(0, len(symbols), SYMBOLS):
-            block = symbols[i : i + SYMBOLS]
-            bit, places = self.decisions(coder, block, [c[i : i + SYMBOLS] for c in contexts])
-            final = self.chances(places)[-1]
-            bits = -np.log2(np.where(bit, final, 1 - final))
-            lengths = coder.lengths[block]
-            costs[i : i + SYMBOLS] = np.add.reduceat(bits, np.cumsum(lengths) - lengths, dtype=np.float64)
-        return np.add.reduceat(costs, starts) if len(starts) else np.zeros(0)
+        for mixer, places, contexts in self._trees(coder, symbols, begins):
+            first = which = np.arange(len(places))
+            if mixer.given:
+                # A word costs the same wherever it stands in the same contexts.
+                key = symbols[places].astype(np.uint64)
+                for context in contexts:
+                    key = (key * MIX[0]) ^ context
+                _, first, which = np.unique(key, return_index=True, return_inverse=True)
+            each = [np.zeros(0)]
+            for i in range(0, len(first), SYMBOLS):
+                part = first[i : i + SYMBOLS]
+                each.append(mixer.bits(coder, symbols[places[part]], [context[part] for context in contexts]))
+            costs[places] = np.concatenate(each)[which]
+        return np.add.reduceat(costs, begins) if len(begins) else np.zeros(0)
 
-    @staticmethod
-    def _coded(coder: Coder, texts: list[list[bytes]]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-        symbols, starts = coder.symbols(texts)
-        return symbols, coder.contexts(symbols, starts), starts
+    def text_bits(self, coder: Coder, texts: list[list[bytes]]) -> np.ndarray:
+        return self.token_bits(coder, *coder.tokens(texts))
 
 
 def grouped(column: pa.Array) -> Iterator[tuple[int, list[list[bytes]]]]:
@@ -301,6 +340,12 @@ def grouped(column: pa.Array) -> Iterator[tuple[int, list[list[bytes]]]]:
         yield first, held
 
 
+def binaries(values: list[bytes]) -> pa.Array:
+    ends = np.cumsum(np.fromiter(map(len, values), np.int32, len(values)), dtype=np.int32)
+    offsets = pa.py_buffer(np.append(np.int32(0), ends).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(values), [None, offsets, pa.py_buffer(b"".join(values))])
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """``word`` (lower-cased UTF-8) and ``n`` over a text column; each task adds up first."""
 
@@ -324,7 +369,7 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(task, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def learn(texts: DataFrame, coder: Coder, slots: int) -> Mixer:
+def learn(texts: DataFrame, coder: Coder, slots: int) -> Model:
     """One online pass over a text column, merged over tasks.
 
     What a task sends is its tables in blocks; each block is added up where its
@@ -332,50 +377,56 @@ def learn(texts: DataFrame, coder: Coder, slots: int) -> Mixer:
     slot) comes to the driver.
     """
     sent = texts.sparkSession.sparkContext.broadcast(coder)
-    schema, names = "kind long, block long, payload binary", ["kind", "block", "payload"]
+    # Payloads are keyed by mixer, table (-1: weights, evidence and refinement) and first slot.
+    schema, names = "mixer int, kind int, block long, payload binary", ["mixer", "kind", "block", "payload"]
 
-    def row(kind: int, block: int, payload: bytes) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([kind]), pa.array([block]), pa.array([payload], pa.binary())], names=names)
+    def row(mixer: int, kind: int, block: int, payload: bytes) -> pa.RecordBatch:
+        columns = [pa.array([mixer], pa.int32()), pa.array([kind], pa.int32()), pa.array([block])]
+        return pa.record_batch([*columns, pa.array([payload], pa.binary())], names=names)
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, mixer = sent.value, None
+        coder, model = sent.value, None
         for part in parts:
             for _, group in grouped(part.column("text")):
-                mixer = mixer or Mixer(one.nodes_count, slots, one.word_nodes)
-                mixer.learn(one, group)
-        if mixer is None:
-            return
-        for kind, table in enumerate(mixer.tables):
-            for block in range(0, len(table), 2 * BLOCK):
-                values = table[block : block + 2 * BLOCK]
-                if values.any():
-                    yield row(kind, block // 2, sent_counts(values))
-        rest = np.concatenate([(mixer.weights * mixer.evidence).ravel(), mixer.evidence.ravel(), mixer.seen.ravel()])
-        yield row(-1, 0, rest.tobytes())
-
-    sizes = [2 * coder.nodes_count, *[2 * slots] * ORDERS]
+                model = model or Model(coder, slots)
+                model.learn(coder, group)
+        for i, mixer in enumerate(model.mixers if model else ()):
+            for kind, table in list(enumerate(mixer.tables))[mixer.given :]:
+                for block in range(0, len(table), 2 * BLOCK):
+                    values = table[block : block + 2 * BLOCK]
+                    if values.any():
+                        yield row(i, kind, block // 2, sent_counts(values))
+            rest = [mixer.weights * mixer.evidence, mixer.evidence, mixer.seen]
+            yield row(i, -1, 0, np.concatenate([x.ravel() for x in rest]).tobytes())
+
+    empty = Model(coder, slots)
+    sizes = [[len(table) for table in mixer.tables] for mixer in empty.mixers]
 
     def add_up(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, total = None, np.zeros(0)
+
+        def done() -> pa.RecordBatch:
+            return row(*key, (total if key[1] < 0 else derived(total)).tobytes())
+
         for part in parts:
-            for kind, block, payload in zip(*part.to_pydict().values(), strict=True):
+            for mixer, kind, block, payload in zip(*part.to_pydict().values(), strict=True):
                 if kind < 0:
                     values = np.frombuffer(payload, float)
                 else:
-                    values = received_counts(payload, min(2 * BLOCK, sizes[kind] - 2 * block))
-                if key == (kind, block):
+                    values = received_counts(payload, min(2 * BLOCK, sizes[mixer][kind] - 2 * block))
+                if key == (mixer, kind, block):
                     total = total + values
                     continue
                 if key is not None:
-                    yield row(*key, (total if key[0] < 0 else derived(total)).tobytes())
-                key, total = (kind, block), values
+                    yield done()
+                key, total = (mixer, kind, block), values
         if key is not None:
-            yield row(*key, (total if key[0] < 0 else derived(total)).tobytes())
+            yield done()
 
-    sums = texts.select("text").mapInArrow(task, schema).repartition("kind", "block")
-    sums = sums.sortWithinPartitions("kind", "block").mapInArrow(add_up, schema)
-    mixer = Mixer(coder.nodes_count, slots, coder.word_nodes)
-    for kind, block, payload in sums.collect():
+    key = ["mixer", "kind", "block"]
+    sums = texts.select("text").mapInArrow(task, schema).repartition(*key).sortWithinPartitions(*key)
+    for i, kind, block, payload in sums.mapInArrow(add_up, schema).collect():
+        mixer = empty.mixers[i]
         if kind >= 0:
             values = np.frombuffer(bytes(payload), np.uint16)
             mixer.codes[kind][block : block + len(values)] = values
@@ -384,11 +435,10 @@ def learn(texts: DataFrame, coder: Coder, slots: int) -> Mixer:
         mixer.evidence = evidence.reshape(mixer.evidence.shape)
         mixer.weights = (weighted.reshape(mixer.evidence.shape) / mixer.evidence).astype(np.float32)
         mixer.seen = seen.reshape(mixer.seen.shape)
-    codes = mixer.codes
-    mixer.tables = []  # scoring reads the codes alone
-    mixer.refresh()
-    mixer.codes = codes
-    return mixer
+    for mixer in empty.mixers:
+        mixer.tables, mixer.alone = [], np.zeros(0)  # scoring reads the codes alone
+        mixer.refine()
+    return empty
 
 
 def score(
@@ -396,9 +446,8 @@ def score(
     held_out: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    frequent: int = 1 << 17,
-    coded: int = 1 << 16,
-    tokens_per_slot: int = 64,
+    coded: int = 1 << 17,
+    tokens_per_slot: int = 128,
     least_slots: int = 1 << 20,
     most_slots: int = 1 << 22,
 ) -> DataFrame:
@@ -406,9 +455,10 @@ def score(
 
     Learns from the rows ``held_out`` is not true for, scores all. Tokens are
     the words of the lower-cased (A-Z) text and one end. The ``coded`` most
-    frequent words, if seen more than once, have a code of their own, the counts of ``frequent`` words go to every executor,
-    those of all others are joined; a context table has about one slot per
-    ``tokens_per_slot`` learned tokens, between ``least_slots`` and ``most_slots``.
+    frequent words, if seen more than once, have a code of their own and go to
+    every executor with their counts; counts of all others are joined. A context
+    table has about one slot per ``tokens_per_slot`` learned tokens, between
+    ``least_slots`` and ``most_slots``.
 
     Columns: ``id``, ``held_out``, ``n_tokens``, ``n_known`` (seen in learning),
     ``train_tokens``, ``base_score`` (sum of log10 of add-one probabilities),
@@ -429,46 +479,41 @@ def score(
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     texts = training.count()
     tokens, types = words + texts, distinct + (texts > 0)
-    # Bounded by ``frequent``.
-    head = counts.orderBy(F.desc("n"), "word").limit(frequent).collect()
-    names, numbers = [bytes(row.word) for row in head], [row.n for row in head]
-    # Words seen once are spelled: their share is what new words will have, and
-    # they teach the byte tree what such words look like.
-    twice = min(coded, sum(n > 1 for n in numbers))
-    coder = Coder(names[:twice], numbers[:twice], words - sum(numbers[:twice]), texts)
+    # Bounded by ``coded``. Words seen once are spelled: their share is what new
+    # words will have, and they teach the byte tree what such words look like.
+    head = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(coded).collect()
+    numbers = [row.n for row in head]
+    coder = Coder([bytes(row.word) for row in head], numbers, words - sum(numbers), texts)
     slots = min(most_slots, max(least_slots, 1 << round(math.log2(max(1, tokens / tokens_per_slot)))))
-    mixer = learn(training, coder, slots)
+    model = learn(training, coder, slots)
 
     base = math.log10(tokens + types + 1)
-    sent = spark.sparkContext.broadcast((coder, mixer, dict(zip(names, numbers, strict=True))))
+    # By symbol; the end is a token like any word.
+    sent = spark.sparkContext.broadcast((coder, model, np.array([*numbers, texts], float)))
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, mixer, seen = sent.value
+        coder, model, seen = sent.value
         row = TaskContext.get().partitionId() << 40
         for part in parts:
             ids, held = part.column("id"), part.column("held_out")
             for first, group in grouped(part.column("text")):
                 size = len(group)
-                bits = mixer.text_bits(coder, group)
-                known, logs, rare = [], [], []
-                for text in group:
-                    each = [seen.get(word, 0) for word in text]
-                    found = np.array([n for n in each if n] + ([texts] if texts else []), float)
-                    known.append(len(found))
-                    logs.append(float((np.log10(found + 1) - base).sum()) - (0 if texts else base))
-                    other = Counter(word for word, n in zip(text, each, strict=True) if not n)
-                    rare.append([{"word": word, "times": times} for word, times in other.items()])
+                flat, known, starts = coder.tokens(group)
+                count = np.where(known < 0, 0, seen[known])
+                logs = np.where(known < 0, 0, np.log10(count + 1) - base)
+                rare = list(compress(flat, (known < 0).tolist()))
+                begins = np.append(np.searchsorted(np.flatnonzero(known < 0), starts), len(rare)).astype(np.int32)
                 yield pa.record_batch(
                     [
                         pa.array(np.arange(row, row + size)),
                         ids.slice(first, size),
                         held.slice(first, size),
                         pa.array([len(text) + 1 for text in group], pa.int64()),
-                        pa.array(known, pa.int64()),
-                        pa.array(logs, pa.float64()),
-                        pa.array(bits, pa.float64()),
+                        pa.array(np.add.reduceat((count > 0).astype(np.int64), starts)),
+                        pa.array(np.add.reduceat(logs, starts)),
+                        pa.array(model.token_bits(coder, flat, known, starts)),
                         pa.array([sum(map(len, text)) + len(text) + 1 for text in group], pa.int64()),
-                        pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))),
+                        pa.ListArray.from_arrays(begins, binaries(rare)),
                     ],
                     names=["row", "id", "held_out", "n_tokens", "known", "logs", "bits", "bytes", "rare"],
                 )
@@ -478,14 +523,14 @@ def score(
         read.mapInArrow(
             task,
             "row long, id long, held_out boolean, n_tokens long, known long, logs double, bits double, bytes long, "
-            "rare array<struct<word: binary, times: long>>",
+            "rare array<binary>",
         ),
         "scored",
     )
-    rare = scored.select("row", F.explode("rare").alias("one")).select("row", "one.word", "one.times")
+    rare = scored.select("row", F.explode("rare").alias("word"))
     rare = rare.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 1) - base)).alias("rare_logs"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+        F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - base).alias("rare_logs"),
+        F.count("n").alias("rare_known"),
     )
     return scored.drop("rare").join(rare, "row", "left").select(
         "id",

@@ -44,12 +44,12 @@ def brute_base(texts):
     return found
 
 
-@pytest.mark.parametrize("frequent", [2, 1 << 17])
-def test_base_scores_equal_their_definition(spark, frequent):
+@pytest.mark.parametrize("coded", [2, 50])
+def test_base_scores_equal_their_definition(spark, coded):
     table = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
     texts = {r.doc_id: r.text for r in table.collect()}
     texts = [texts[i] for i in range(60)] + [None, "", "A a\x0bÉ é", "only here twice twice"]
-    found = language_model.score(docs(spark, texts), held_out_rows(), frequent=frequent, coded=50, least_slots=1 << 12)
+    found = language_model.score(docs(spark, texts), held_out_rows(), coded=coded, least_slots=1 << 12)
     rows = {r.id: (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in found.collect()}
     want = brute_base(texts)
     assert rows == want
@@ -69,11 +69,12 @@ def learned_model(texts, coded=40):
     coder = language_model.Coder(
         [w for w, _ in head], [n for _, n in head], sum(counts.values()) - sum(n for _, n in head), len(texts)
     )
-    mixer = language_model.Mixer(coder.nodes_count, 1 << 14, coder.word_nodes)
+    model = language_model.Model(coder, 1 << 14)
     for _ in range(3):
-        mixer.learn(coder, texts)
-    mixer.refresh()
-    return coder, mixer
+        model.learn(coder, texts)
+    for mixer in model.mixers:
+        mixer.refresh()
+    return coder, model
 
 
 def prose(count=300, seed=1):
@@ -81,12 +82,33 @@ def prose(count=300, seed=1):
     return [[b"w%d" % x for x in rng.zipf(1.3, 40) % 300] for _ in range(count)]
 
 
+@pytest.mark.parametrize("counts", [[3, 1], [5, 5, 5, 5], [1, 2, 4, 8, 16, 32], [1] * 100, [7, 1, 1, 1, 9, 2]])
+def test_huffman_paths_spell_a_best_prefix_code(counts):
+    lengths, nodes, bits, follow = language_model.huffman(counts)
+    ends = np.cumsum(lengths)
+    codes = ["".join(map(str, bits[end - n : end])) for n, end in zip(lengths, ends, strict=True)]
+    assert sum(2.0**-n for n in lengths) == pytest.approx(1)
+    assert not any(a != b and b.startswith(a) for a in codes for b in codes)
+    # A code is best if its cost is that of always merging the two smallest.
+    rest, cost = sorted(counts), 0
+    while len(rest) > 1:
+        cost += rest[0] + rest[1]
+        rest = sorted([rest[0] + rest[1], *rest[2:]])
+    assert (lengths * counts).sum() == cost
+    seen = Counter()
+    for count, n, end in zip(counts, lengths, ends, strict=True):
+        for node, bit in zip(nodes[end - n : end], bits[end - n : end], strict=True):
+            seen[2 * node + bit] += count
+    assert [seen[i] for i in range(len(follow))] == follow.tolist()
+
+
 def test_symbol_probabilities_sum_to_one():
-    coder, mixer = learned_model(prose())
-    contexts = [np.array([c], np.uint64) for c in (3, 5, 7)]
-    for first, last in ((0, coder.escape + 1), (coder.byte, coder.stop + 1)):
+    coder, model = learned_model(prose())
+    spans = ((0, coder.escape + 1), (coder.byte, coder.stop + 1))
+    for mixer, (first, last) in zip(model.mixers, spans, strict=True):
         symbols = np.arange(first, last)
-        bit, places = mixer.decisions(coder, symbols, [np.repeat(c, len(symbols)) for c in contexts])
+        contexts = [np.full(len(symbols), 3 + 2 * i, np.uint64) for i in range(mixer.contexts)]
+        bit, places = mixer.decisions(coder, symbols, contexts)
         final = mixer.chances(places)[-1].astype(float)
         each = np.where(bit, final, 1 - final)
         lengths = coder.lengths[symbols]
@@ -106,10 +128,10 @@ def test_model_learns_order_and_merging_tasks_changes_little(spark):
 
 def test_bits_are_independent_of_blocks(monkeypatch):
     texts = prose(50) + [[], [b"unheard", b"\xff" * 30]]
-    coder, mixer = learned_model(texts)
-    whole = mixer.text_bits(coder, texts)
+    coder, model = learned_model(texts)
+    whole = model.text_bits(coder, texts)
     monkeypatch.setattr(language_model, "SYMBOLS", 7)
-    alone = np.concatenate([mixer.text_bits(coder, [text]) for text in texts])
+    alone = np.concatenate([model.text_bits(coder, [text]) for text in texts])
     assert alone == pytest.approx(whole, rel=1e-5)
 
 
