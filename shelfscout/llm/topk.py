@@ -98,17 +98,22 @@ def exact_top_k(
 
     Components become floor(scale * x); the score is their inner product, ties
     go to the smaller id. Queries are the rows ``is_query`` holds for (over
-    column ``vec_id``), candidates all rows but those of the query's own id. Null
+    column ``vec_id``), candidates all rows but those of the query's own id. A
+    candidate's repeated rows are candidates of their own, so its id may take
+    several ranks. A query's repeated rows, equal in id and vector, are asked
+    once; an id with several vectors is a query, ranked from 1, for each. Null
     ids, and vectors that are null or hold null or non-finite components, take no
     part; vectors of different length are never compared. Fewer candidates than
     ``k`` give fewer rows; an empty table none. A score beyond a long is an error.
     Other columns are not read.
     """
     vectors = materialise(_vectors(table, id_col, vector_col, scale), "vectors")
-    # Of equal vectors only the k + 1 smallest ids can be among the best k of a query.
+    # Of equal vectors only the k + 1 smallest ids, k rows each, can be among the best k of a query.
     alike = Window.partitionBy("v").orderBy("vec_id")
-    rows = vectors.withColumn("copy", F.row_number().over(alike)).where(F.col("copy") <= k + 1).drop("copy")
-    rows = materialise(rows, "candidates")
+    held = vectors.groupBy("dim", "v", "vec_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("copies"))
+    held = held.withColumn("place", F.row_number().over(alike)).where(F.col("place") <= k + 1)
+    rows = held.select("vec_id", "dim", "v", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    rows = materialise(rows.drop("copy"), "candidates")
     found = None
     # Vectors of one length are one search; a table usually has one length.
     for (dim,) in vectors.where(is_query).select("dim").distinct().orderBy("dim").collect():
@@ -164,13 +169,15 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
         scale = np.square(vectors).sum(axis=1)[:, None] + most**2
         return (scale - np.square(gap)) / 2 + SLACK * scale
 
-    queries = materialise(queries.select(F.col("vec_id").alias("query_id"), "v"), "queries")
+    # Numbered, for an id may ask with several vectors; written, the numbers stay.
+    queries = queries.select(F.col("vec_id").alias("query_id"), "v").distinct()
+    queries = materialise(queries.withColumn("query", F.monotonically_increasing_id()), "queries")
     best, start, count = None, 0, FIRST
     while start < len(cell):
         state = queries.withColumn("least", F.lit(None).cast("double"))
         if best is not None:
-            kth = best.where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("least"))
-            state = queries.join(kth, "query_id", "left")
+            kth = best.where(F.col("rank") == k).select("query", F.col("score").cast("double").alias("least"))
+            state = queries.join(kth, "query", "left")
 
         def asked(parts: Iterator[pa.RecordBatch], start: int = start, count: int = count) -> Iterator[pa.RecordBatch]:
             for part in parts:
@@ -178,43 +185,42 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
                 order = np.argsort(-bound, axis=1, kind="stable")[:, start : start + count]
                 least = np.array([-np.inf if x is None else x for x in part.column("least").to_pylist()])
                 at, place = np.nonzero(np.take_along_axis(bound, order, axis=1) >= least[:, None])
-                yield pa.record_batch(
-                    [part.column("query_id").take(pa.array(at)), part.column("v").take(pa.array(at)), pa.array(cell[order[at, place]])],
-                    names=["query_id", "v", "cell"],
-                )
+                kept = [part.column(name).take(pa.array(at)) for name in ("query", "query_id", "v")]
+                yield pa.record_batch([*kept, pa.array(cell[order[at, place]])], names=["query", "query_id", "v", "cell"])
 
-        wanted = materialise(state.mapInArrow(asked, "query_id long, v binary, cell long"), "asked")
+        wanted = materialise(state.mapInArrow(asked, "query long, query_id long, v binary, cell long"), "asked")
         calls = {row.cell: row["count"] for row in wanted.groupBy("cell").count().collect()}  # one row per cell at most
         if not calls:
             break
         sizes = spark.createDataFrame(
             [(c, parts_of[c], -(-n // BLOCK)) for c, n in calls.items()], "cell long, row_parts int, query_parts int"
         )
-        left = wanted.join(F.broadcast(sizes), "cell").withColumn("query_part", F.pmod(F.xxhash64("query_id"), "query_parts").cast("int"))
+        left = wanted.join(F.broadcast(sizes), "cell").withColumn("query_part", F.pmod(F.xxhash64("query"), "query_parts").cast("int"))
         left = left.withColumn("row_part", F.explode(F.sequence(F.lit(0), F.col("row_parts") - 1)))
         right = index.join(F.broadcast(sizes), "cell").withColumn("row_part", F.pmod(F.xxhash64("vec_id"), "row_parts").cast("int"))
         right = right.withColumn("query_part", F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)))
         key = ["cell", "row_part", "query_part"]
 
         def multiply(asking: pa.Table, held: pa.Table) -> pa.Table:
-            names = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+            names = pa.schema([(name, pa.int64()) for name in ("query", "query_id", "vec_id", "score")])
             if not asking.num_rows or not held.num_rows:
                 return names.empty_table()
-            ids, query_ids = held.column("vec_id").to_numpy(), asking.column("query_id").to_numpy()
+            ids = held.column("vec_id").to_numpy()
+            asked_by = (asking.column(name).to_numpy() for name in ("query", "query_id"))
             table = scores(_matrix(asking.column("v"), dim), _matrix(held.column("v"), dim))
-            out: list[list] = [[], [], []]
-            for query, line in zip(query_ids, table, strict=True):
-                other = np.flatnonzero(ids != query)
+            out: list[list] = [[], [], [], []]
+            for query, own, line in zip(*asked_by, table, strict=True):
+                other = np.flatnonzero(ids != own)
                 top = other[np.lexsort((ids[other], -line[other]))[:k]]
-                for column, values in zip(out, ([query] * len(top), ids[top], line[top]), strict=True):
+                for column, values in zip(out, ([query] * len(top), [own] * len(top), ids[top], line[top]), strict=True):
                     column.extend(values)
             return pa.table([pa.array(x, pa.int64()) for x in out], schema=names)
 
-        made = left.select(*key, "query_id", "v").groupBy(*key).cogroup(right.select(*key, "vec_id", "v").groupBy(*key))
-        new = made.applyInArrow(multiply, "query_id long, vec_id long, score long")
+        made = left.select(*key, "query", "query_id", "v").groupBy(*key).cogroup(right.select(*key, "vec_id", "v").groupBy(*key))
+        new = made.applyInArrow(multiply, "query long, query_id long, vec_id long, score long")
         if best is not None:
-            new = new.unionByName(best.select("query_id", "vec_id", "score"))
-        place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+            new = new.unionByName(best.select("query", "query_id", "vec_id", "score"))
+        place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
         best = materialise(new.withColumn("rank", place).where(F.col("rank") <= k), "best")
         start, count = start + count, 2 * count
     if best is None:

@@ -258,6 +258,24 @@ def test_top_k_equals_brute_force(spark, monkeypatch, block):
     assert found == brute_top([(i, np.floor(1024 * x).astype(np.int64)) for i, x in rows], 10)
 
 
+def test_top_k_of_repeated_rows_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(topk, "PIVOTS", 6)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4)) for i in range(1, 300)]
+    long = 9 * np.ones(4)
+    rows += [(400, long)] * 15 + [(401, long), (402, long)]  # a query that fills its vector's first rows
+    rows += [(500, rows[7][1])] * 3 + [(500, -rows[7][1])]  # a repeated query, and one of two vectors
+    rows += [(601, 8 * rows[7][1])] * 4 + [(602, -8 * rows[7][1])] * 13  # repeated candidates, more than k too
+    table = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in rows], "vec_id long, embedding array<double>")
+    found = Counter(tuple(r) for r in topk.exact_top_k(table, F.col("vec_id") % 100 == 0).collect())
+    whole = [(i, tuple(np.floor(1024 * x).astype(np.int64).tolist())) for i, x in rows]
+    want = Counter()
+    for i, q in {(i, q) for i, q in whole if i % 100 == 0}:
+        scored = sorted((-int(np.dot(q, x)), j) for j, x in whole if j != i)[:10]
+        want.update((i, rank + 1, j, -s) for rank, (s, j) in enumerate(scored))
+    assert found == want
+
+
 def test_top_k_of_large_components_few_and_no_rows(spark):
     schema = "vec_id long, embedding array<double>"
     big = spark.createDataFrame([(0, [2.0**20, 3.0]), (1, [2.0**20, 1.0]), (2, [2.0**20 + 1, 0.0])], schema)
