@@ -3,8 +3,8 @@
 A text is coded as binary decisions. Frequent words are leaves of a Huffman
 tree; any other word is an escape followed by its bytes in a second tree. For
 each decision several predictors look up how often 0 and 1 followed: in the node
-alone, and in hashed contexts of the node with words (two) or bytes (three) that
-stand before. Their stretched probabilities are summed with weights that a gate picks
+alone, and in three hashed contexts of the node with words or bytes that stand
+before. Their stretched probabilities are summed with weights that a gate picks
 by how much evidence each context has, and the sum is refined by a table of what
 really happened at such sums. A text's bits are the sum over its decisions.
 
@@ -33,14 +33,12 @@ from shelfscout.llm.common import text_of, words_of
 from shelfscout.session import materialise
 
 # Hashed contexts of a word's decisions, and of a byte's.
-WORD_CONTEXTS, BYTE_CONTEXTS = 2, 3
+WORD_CONTEXTS, BYTE_CONTEXTS = 3, 3
 # Added to both counts of a context; symbols and characters worked on at a time.
 PRIOR = np.float32(0.4)
 SYMBOLS, AT_ONCE = 1 << 13, 1 << 20
 # Symbols after which derived tables are renewed: at first, and at most (it doubles).
 EARLY, LATE = 1 << 15, 1 << 21
-# Weights and refinement follow one decision in so many; counts follow all.
-FOLLOWED = 8
 # Words a counting task holds before it passes them on.
 HELD = 1 << 20
 # The most frequent words, the last of which is a context of every word.
@@ -131,8 +129,8 @@ class Coder:
     def contexts(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Hashes of what stands before each symbol, within its text: as contexts of words and of bytes.
 
-        Of a word: the last very frequent word, the word before. Of a byte: the
-        two, three and four symbols before.
+        Of a word: the last very frequent word, the word before, the two before.
+        Of a byte: the two, three and four symbols before.
         """
         before, shifted = [], symbols
         for _ in range(4):
@@ -145,7 +143,7 @@ class Coder:
         first, second, third, fourth = before
         pair = first * MIX[0] + second
         triple = pair * MIX[0] + third
-        words, letters = [marker.astype(np.uint64), first], [pair, triple, triple * MIX[0] + fourth]
+        words, letters = [marker.astype(np.uint64), first, pair], [pair, triple, triple * MIX[0] + fourth]
         for found in (words, letters):
             for order, mixed in enumerate(found):
                 found[order] = (mixed + np.uint64(order + 1)) * MIX[1]
@@ -242,23 +240,26 @@ class Mixer:
         chance = 1 / (1 + np.exp(-total))
         total += np.float32(REACH)
         total *= np.float32((STEPS - 1) / (2 * REACH))
-        cell = np.rint(total).astype(np.int64)
+        cell = np.minimum(total.astype(np.int64), STEPS - 2)
+        part = total - cell.astype(np.float32)
         cell += gate * STEPS
+        refined = self.refined.take(cell)
+        refined += (self.refined.take(cell + 1) - refined) * part
+        cell += part > 0.5
         # Neither part is ever 0 or 1: sums are clipped, refined chances lean on their prior.
-        return chance, inputs, gate, cell, (chance + self.refined.take(cell)) / 2
+        return chance, inputs, gate, cell, (chance + refined) / 2
 
     def learn(self, coder: Coder, symbols: np.ndarray, contexts: list[np.ndarray]) -> None:
         """Predict a block, correct weights and refinement, count it."""
         bit, places = self.decisions(coder, symbols, contexts)
-        few = bit[::FOLLOWED]
-        chance, inputs, gate, cell, _ = self.chances([place[::FOLLOWED] for place in places])
-        miss, spread = few - chance, chance * (1 - chance)
+        chance, inputs, gate, cell, _ = self.chances(places)
+        miss, spread = bit - chance, chance * (1 - chance)
         for row, x in enumerate([*inputs, np.float32(1)]):
             self.evidence[row] += np.bincount(gate, spread * x * x, self.gates)
             step = PACE * np.bincount(gate, miss * x, self.gates) / self.evidence[row]
             self.weights[row] += step.astype(np.float32)
         self.seen[0] += np.bincount(cell, minlength=self.gates * STEPS)
-        self.seen[1] += np.bincount(cell, few, self.gates * STEPS)
+        self.seen[1] += np.bincount(cell, bit, self.gates * STEPS)
         for table, place in list(zip(self.tables, places, strict=True))[self.given :]:
             np.add.at(table, 2 * place + bit, np.uint32(1))
         self.fresh += len(symbols)
@@ -447,7 +448,7 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     coded: int = 1 << 17,
-    tokens_per_slot: int = 128,
+    tokens_per_slot: int = 64,
     least_slots: int = 1 << 20,
     most_slots: int = 1 << 22,
 ) -> DataFrame:

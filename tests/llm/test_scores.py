@@ -126,6 +126,21 @@ def test_model_learns_order_and_merging_tasks_changes_little(spark):
         assert all(r.bits_per_byte > 0 for r in rows)
 
 
+def test_model_learns_from_two_words_before_and_every_decision():
+    rng = np.random.default_rng(5)
+    # A word follows from the two before together, not from either alone.
+    texts = []
+    for _ in range(300):
+        line = [int(x) for x in rng.integers(0, 16, 2)]
+        while len(line) < 60:
+            line.append((line[-1] + line[-2]) % 16)
+        texts.append([b"v%d" % x for x in line])
+    coder, model = learned_model(texts)
+    assert model.text_bits(coder, texts).sum() < 1.0 * sum(map(len, texts))
+    bit, _ = model.mixers[0].decisions(coder, coder.symbols(*coder.tokens(texts))[0], [])
+    assert model.mixers[0].seen[0].sum() == 3 * len(bit)
+
+
 def test_bits_are_independent_of_blocks(monkeypatch):
     texts = prose(50) + [[], [b"unheard", b"\xff" * 30]]
     coder, model = learned_model(texts)
