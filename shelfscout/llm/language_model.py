@@ -37,8 +37,13 @@ WORD_CONTEXTS, BYTE_CONTEXTS = 3, 3
 # Added to both counts of a context; symbols and characters worked on at a time.
 PRIOR = np.float32(0.4)
 SYMBOLS, AT_ONCE = 1 << 13, 1 << 20
-# Symbols after which derived tables are renewed: at first, and at most (it doubles).
+# Symbols of the first block; blocks double up to ``SYMBOLS``.
+FIRST = 1 << 6
+# Symbols up to which every block renews what it touched of the derived tables, and
+# after which all of them are renewed: at first, and at most (it doubles).
 EARLY, LATE = 1 << 15, 1 << 21
+# Tokens (a power of two) that a learning task has at least, however the rows are dealt.
+TASK_BITS = 18
 # Words a counting task holds before it passes them on.
 HELD = 1 << 20
 # The most frequent words, the last of which is a context of every word.
@@ -192,7 +197,7 @@ class Mixer:
         self.weights[-1] = 0
         self.evidence = np.full((self.contexts + 2, self.gates), 50.0)
         self.seen = np.zeros((2, self.gates * STEPS))  # per gate and step: decisions, and ones among them
-        self.fresh, self.due = 0, EARLY  # symbols learned since the last renewal, and until the next
+        self.learned, self.fresh, self.due = 0, 0, EARLY  # symbols: all, since the last renewal, until the next
         self.refresh()
 
     def refresh(self) -> None:
@@ -262,8 +267,14 @@ class Mixer:
         self.seen[1] += np.bincount(cell, bit, self.gates * STEPS)
         for table, place in list(zip(self.tables, places, strict=True))[self.given :]:
             np.add.at(table, 2 * place + bit, np.uint32(1))
+        self.learned += len(symbols)
         self.fresh += len(symbols)
-        if self.fresh >= self.due:
+        if self.learned <= EARLY:
+            for code, table, place in list(zip(self.codes, self.tables, places, strict=True))[self.given :]:
+                code[place] = derived(table.reshape(-1, 2)[place].ravel())
+            self.refine()
+            self.fresh = 0
+        elif self.fresh >= self.due:
             self.refresh()
             self.fresh, self.due = 0, min(2 * self.due, LATE)
 
@@ -298,9 +309,11 @@ class Model:
         """Take texts in, block by block."""
         symbols, starts = coder.symbols(*coder.tokens(texts))
         for mixer, places, contexts in self._trees(coder, symbols, starts):
-            for i in range(0, len(places), SYMBOLS):
-                part = slice(i, i + SYMBOLS)
+            i = 0
+            while i < len(places):
+                part = slice(i, i + min(SYMBOLS, max(FIRST, mixer.learned)))
                 mixer.learn(coder, symbols[places[part]], [context[part] for context in contexts])
+                i = part.stop
 
     def token_bits(
         self, coder: Coder, flat: list[bytes | None], known: np.ndarray, starts: np.ndarray
@@ -486,7 +499,8 @@ def score(
     numbers = [row.n for row in head]
     coder = Coder([bytes(row.word) for row in head], numbers, words - sum(numbers), texts)
     slots = min(most_slots, max(least_slots, 1 << round(math.log2(max(1, tokens / tokens_per_slot)))))
-    model = learn(training, coder, slots)
+    # Small partitions are learned from together: weights fit only contexts that had evidence.
+    model = learn(training.coalesce(max(1, tokens >> TASK_BITS)), coder, slots)
 
     base = math.log10(tokens + types + 1)
     # By symbol; the end is a token like any word.

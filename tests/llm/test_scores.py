@@ -141,6 +141,29 @@ def test_model_learns_from_two_words_before_and_every_decision():
     assert model.mixers[0].seen[0].sum() == 3 * len(bit)
 
 
+def test_few_symbols_train_the_gates_of_evidence():
+    texts = prose(200)
+    counts = Counter(word for words in texts for word in words)
+    coder = language_model.Coder(list(counts)[:150], list(counts.values())[:150], sum(list(counts.values())[150:]), 200)
+    model = language_model.Model(coder, 1 << 14)
+    model.learn(coder, texts)
+    for mixer in model.mixers:
+        decisions = mixer.seen[0].reshape(mixer.gates, language_model.STEPS).sum(axis=1)
+        assert decisions[1:].sum() > decisions[0]
+        for code, table in zip(mixer.codes, mixer.tables, strict=True):
+            assert (code == language_model.derived(table)).all()
+
+
+def test_scores_hardly_depend_on_partitions(spark):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"v{(s + 7 * i) % 50}" for i in range(60)) for s in rng.integers(0, 50, 400)]
+    table, totals = docs(spark, texts), []
+    for parts in (1, 200):
+        rows = language_model.score(table.repartition(parts), held_out_rows(), least_slots=1 << 12).where("held_out")
+        totals.append(sum(r.score for r in rows.collect()))
+    assert totals[1] == pytest.approx(totals[0], rel=0.02)
+
+
 def test_bits_are_independent_of_blocks(monkeypatch):
     texts = prose(50) + [[], [b"unheard", b"\xff" * 30]]
     coder, model = learned_model(texts)
