@@ -53,18 +53,13 @@ def _before(codes: Column) -> Column:
     return F.concat(F.array(F.lit(0)), F.slice(codes, 1, F.greatest(F.size(codes) - 1, F.lit(0))))
 
 
-def samples(docs: DataFrame, text_col: str = "text", most: int = 4000) -> DataFrame:
-    """Labelled samples (``value``, ``random``) from about ``most`` documents with the smallest text hashes.
+def samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Labelled samples (``value``, ``random``) from all documents; equal texts count once.
 
     Random: what the base rules find. Ordinary: the runs of key characters in
-    the rest of the text. ``most`` bounds the documents a model is fitted on.
+    the rest of the text.
     """
-    text = text_of(text_col)
-    share = min(1.0, most / max(1, docs.count()))
-    few = docs.select(text.alias("text"), F.xxhash64(text).alias("order"))
-    if share < 1:
-        few = few.where(F.col("order") < F.lit(int((2 * share - 1) * (2**63 - 1))))
-    few = few.select("text").distinct()
+    texts = docs.select(text_of(text_col).alias("text")).distinct()
     values = F.filter(
         F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda x: F.char_length(x) >= LEAST_VALUE
     )
@@ -75,20 +70,23 @@ def samples(docs: DataFrame, text_col: str = "text", most: int = 4000) -> DataFr
     )
     rest = F.regexp_replace("text", f"{ASSIGN}|{ACCESS}|{HEX}", " ")
     ordinary = F.regexp_extract_all(rest, F.lit(f"{RUN}{{{LEAST_SAMPLE},}}"), F.lit(0))
-    random = few.select(F.explode(found).alias("value"), F.lit(True).alias("random"))
-    return random.unionByName(few.select(F.explode(ordinary).alias("value"), F.lit(False).alias("random")))
+    random = texts.select(F.explode(found).alias("value"), F.lit(True).alias("random"))
+    return random.unionByName(texts.select(F.explode(ordinary).alias("value"), F.lit(False).alias("random")))
 
 
 def train(labelled: DataFrame, smoothing: float = 0.5) -> Model:
     """Models from samples (``value``, ``random``); nulls are left out, no sample leaves the ratios at 0."""
     codes = _codes(F.col("value"))
-    pairs = labelled.where("value is not null and random is not null").select(
-        "random", F.explode(F.arrays_zip(_before(codes).alias("a"), codes.alias("b"))).alias("pair")
+    # Equal samples are taken apart once.
+    values = labelled.where("value is not null and random is not null").groupBy("random", "value").count()
+    pairs = values.select(
+        "random", "count", F.explode(F.arrays_zip(_before(codes).alias("a"), codes.alias("b"))).alias("pair")
     )
-    pairs = pairs.select("random", F.col("pair.a").alias("a"), F.col("pair.b").alias("b"))
+    pairs = pairs.select("random", "count", F.col("pair.a").alias("a"), F.col("pair.b").alias("b"))
+    pairs = pairs.where(f"a < {CODES} and b < {CODES}").groupBy("random", "a", "b").agg(F.sum("count").alias("n"))
     counts = {False: [0] * (CODES * CODES), True: [0] * (CODES * CODES)}
     # At most one row per label and pair of ASCII codes.
-    for random, a, b, n in pairs.where(f"a < {CODES} and b < {CODES}").groupBy("random", "a", "b").count().collect():
+    for random, a, b, n in pairs.collect():
         counts[random][a * CODES + b] = n
     logs = {label: _logs(table, smoothing) for label, table in counts.items()}
     if not any(counts[True]) or not any(counts[False]):

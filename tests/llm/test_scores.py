@@ -272,6 +272,13 @@ def test_secrets_of_samples_and_nothing(spark):
     assert secrets.scan(empty, secrets.train(secrets.samples(empty))).count() == 0
 
 
+def test_samples_come_from_all_documents(spark):
+    texts = [f"ordinary{chr(97 + i % 26)}{i} words" for i in range(9000)] + [f"token=abcdefghijkl{i}" for i in range(5)]
+    found = secrets.samples(docs(spark, texts))
+    assert found.where("random").count() == 5 and found.where("not random").count() == 9000
+    assert any(secrets.train(found).ratios)
+
+
 def brute_top(rows, k):
     found = set()
     for i, q in rows:
