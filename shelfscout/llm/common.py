@@ -18,6 +18,13 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def term_table(digits: bool) -> bytes:
+    """For ``bytes.translate`` on UTF-8: letters A-Z lower-cased; a-z, all beyond
+    ASCII and, if asked for, digits as they are; every other byte a space."""
+    kept = {*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100), *(range(0x30, 0x3A) if digits else ())}
+    return bytes(byte + 0x20 * (0x41 <= byte <= 0x5A) if byte in kept else 0x20 for byte in range(256))
+
+
 def text_of(name: str) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))

@@ -12,6 +12,7 @@ import public_tokenizers
 from shelfscout.llm import (
     chunk_dedup,
     language_model,
+    lexical_search,
     mixing,
     packing,
     quality,
@@ -120,6 +121,11 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_aho_corasick_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 REGISTRY: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -133,11 +139,14 @@ REGISTRY: dict[str, Query] = {
         op8_byte_prefix_shards,
         op9_power_of_two_packing,
         op10_nbsvm_quality,
+        op13_aho_corasick_search,
     )
 }
 
 # White space as everywhere in this subpackage; a regular expression of DuckDB's.
 _STRIPPED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
     "op6_chunk_recipe_dedup": f"""
@@ -152,4 +161,26 @@ SQL: dict[str, str] = {
         )
         select doc_id, keep_id, group_size, place = 1 as kept, sha256(stripped) as text_sha256 from ranked
     """,
+    "op13_aho_corasick_search": f"""
+        with occurring as (
+            select doc_id, term, count(*) as tf
+            from (select doc_id, unnest({_TERMS}) as term from documents) group by all
+        ), lengths as (
+            select doc_id, sum(tf)::bigint as n from occurring group by doc_id
+        ), corpus as (
+            select count(*) as documents, sum(n)::bigint as terms from lengths
+        ), weights as (
+            select term, floor(1000 * ln((2 * any_value(documents) + 2)::double / (2 * count(*) + 1)))::bigint as w
+            from occurring, corpus group by term
+        ), asked as (
+            select distinct item_id, unnest({_TERMS}) as term from benchmark
+        ), scored as (
+            select item_id, doc_id,
+                sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * documents) // terms))))::bigint as score
+            from asked join occurring using (term) join lengths using (doc_id) join weights using (term), corpus
+            group by item_id, doc_id
+        )
+        select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+        from scored where score > 0 qualify rank <= 10
+    """,
 }
