@@ -11,6 +11,8 @@ import public_tokenizers
 
 from shelfscout.llm import (
     chunk_dedup,
+    divergence,
+    html_extract,
     language_model,
     lexical_search,
     mixing,
@@ -121,6 +123,15 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_maximum_subsequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages)).withColumnRenamed("id", "page_id")
+
+
+def op12_count_level_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=3, most_terms=200)
+
+
 def op13_aho_corasick_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
     return found.withColumnRenamed("id", "doc_id")
@@ -139,6 +150,8 @@ REGISTRY: dict[str, Query] = {
         op8_byte_prefix_shards,
         op9_power_of_two_packing,
         op10_nbsvm_quality,
+        op11_maximum_subsequence,
+        op12_count_level_bitmaps,
         op13_aho_corasick_search,
     )
 }
@@ -146,6 +159,7 @@ REGISTRY: dict[str, Query] = {
 # White space as everywhere in this subpackage; a regular expression of DuckDB's.
 _STRIPPED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
@@ -161,6 +175,42 @@ SQL: dict[str, str] = {
         )
         select doc_id, keep_id, group_size, place = 1 as kept, sha256(stripped) as text_sha256 from ranked
     """,
+    "op12_count_level_bitmaps": f"""
+        with read as (
+            select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source, text
+            from documents
+        ), words as (
+            select row, lang, source, unnest({_WORDS}) as term from read
+        ), kept as (
+            select lang, term, count(*) as total from words group by all having count(distinct row) >= 3
+        ), langs as (
+            select lang, count(*) as terms, (count(*) + sum(total))::bigint as divisor from kept group by lang
+        ), groups as (
+            select distinct lang, source from read
+        ), counts as (
+            select lang, source, term, count(*) as count from words group by all
+        ), filled as (
+            select lang, source, term, total, coalesce(count, 0) as count,
+                (sum(coalesce(count, 0)) over (partition by lang, source) + terms)::bigint as own, divisor
+            from groups join kept using (lang) join langs using (lang) left join counts using (lang, source, term)
+        ), shares as (
+            select lang, source, term, count, 1 + (1000000000 * (count + 1)) // own as p,
+                1 + (1000000000 * (total + 1)) // divisor as q
+            from filled
+        ), pairs as (
+            select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::bigint as value
+            from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source != b.source group by all
+            union all
+            select lang, a.source, b.source, 0 from groups a join groups b using (lang)
+            where a.source != b.source and lang not in (select lang from langs)
+        ), valued as (
+            select lang, source, 'pair' as part, item, value from pairs
+            union all
+            select lang, source, 'term', term, ((p - q) * (p - q)) // q from shares where count > 0 and p > q
+        )
+        select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+        from valued qualify part = 'pair' or rank <= 200
+    """,
     "op13_aho_corasick_search": f"""
         with occurring as (
             select doc_id, term, count(*) as tf
