@@ -1,8 +1,9 @@
 """The three jobs, each safe to run again.
 
     python -m shelfscout.jobs sync    LANDING RAW [--feed F] [--catalogue FILE] [--multi-line]
-    python -m shelfscout.jobs market  SALES TABLE [--force] [--estimate] [--buckets N]
+    python -m shelfscout.jobs market  SALES TABLE [--force] [--estimate] [--buckets N] [--state FOLDER]
     python -m shelfscout.jobs targets RAW MARKET_TABLE CATALOGUE_TABLE TABLE [--restage]
+    python -m shelfscout.jobs sweep   RAW
 
 or the same arguments after ``spark-submit .../jobs.py``. ``market`` and ``targets``
 take the policy as ``--policy FILE`` (a JSON object of fields) and ``--set
@@ -13,7 +14,10 @@ FIELD=JSON``, as often as needed. The session comes from the environment; set
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
+from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +27,12 @@ from shelfscout.operators.checks import run_suite
 from shelfscout.operators.latest import latest_date
 from shelfscout.plans import crm, market, quality, staging, targets
 from shelfscout.policy import SCAN_CEILING_BYTES, TargetingPolicy
-from shelfscout.session import materialise, scratch
-from shelfscout.sources import snapshots, tables
+from shelfscout.session import materialise, remove_folder, scratch
+from shelfscout.sources import increments, nights, snapshots, tables
 
 CATALOGUE_TABLE = "product_catalogue"
+# Property of the market table: the loads of its state that it was folded from.
+LOADS = "shelfscout.loads"
 
 
 def sync_crm(
@@ -55,10 +61,10 @@ def scan_ceiling(spark: SparkSession, policy: TargetingPolicy) -> int:
     raise ValueError("set scan_ceiling_bytes in the policy (0: no ceiling)")
 
 
-def market_bytes(spark: SparkSession, sales: str, policy: TargetingPolicy) -> int:
-    """Bytes of the sales files that hold lines from ``sales_start`` on."""
-    since = F.col("date") >= F.lit(policy.sales_start).cast("date")
-    return tables.selected_bytes(spark, sales, condition=since)
+def market_bytes(spark: SparkSession, files: DataFrame, policy: TargetingPolicy) -> int:
+    """Bytes the rollup reads of a listing of sales files: its columns, from ``sales_start`` on."""
+    since = ("date", dt.date.fromisoformat(policy.sales_start))
+    return tables.column_bytes(spark, files, market.SALES_COLUMNS, since)
 
 
 def build_market(
@@ -68,33 +74,82 @@ def build_market(
     policy: TargetingPolicy,
     force: bool = False,
     buckets: int = tables.BUCKETS,
+    state: str | None = None,
 ) -> bool:
-    """Roll the sales up once, behind the scan ceiling; nothing else reads them.
+    """Roll the sales up, behind the scan ceiling; nothing else reads them. True if
+    the table was written.
 
     The table is laid out by the key in the form the CRM uses, so what groups by
-    store later needs no shuffle.
+    store later needs no shuffle. Without a ``state`` folder it is built once.
+    With one the folder keeps what was made of every sales file, and each run
+    reads only files that are new: the table is what all of them fold into.
+    ``force`` starts over.
     """
+    ceiling = scan_ceiling(spark, policy)
 
-    def rollup() -> DataFrame:
-        found = market.sales_rollup(spark.read.parquet(sales), policy)
-        return found.withColumn("store_number", normalise_key("store_number"))
+    def laid_out(rollup: DataFrame) -> DataFrame:
+        return rollup.withColumn("store_number", normalise_key("store_number"))
 
-    tables.check_budget(market_bytes(spark, sales, policy), scan_ceiling(spark, policy), sales)
-    return tables.build_table(spark, rollup, table, force, key="store_number", buckets=buckets)
+    if state is None:
+        tables.check_budget(market_bytes(spark, increments.list_files(spark, sales), policy), ceiling, sales)
+        whole = lambda: laid_out(market.sales_rollup(spark.read.parquet(sales), policy))
+        return tables.build_table(spark, whole, table, force, key="store_number", buckets=buckets)
+    if force:
+        remove_folder(spark, state)
+    made_by = policy.market_choices()
+    new = increments.pending_files(spark, sales, state, made_by)
+    tables.check_budget(market_bytes(spark, new, policy), ceiling, sales)
+    increments.take_in(spark, sales, state, made_by, partial(market.sales_partials, policy=policy))
+    held = ",".join(increments.loads_of(spark, state, made_by))
+    if not held or tables.marked(spark, table, LOADS) == held:
+        return False
+    folded = laid_out(market.fold_partials(increments.read_state(spark, state, made_by)))
+    tables.write_clustered(folded, table, "store_number", buckets)
+    # Last: a run that dies before writes the table again.
+    tables.mark(spark, table, LOADS, held)
+    return True
+
+
+def derive_nights(
+    spark: SparkSession,
+    raw: str,
+    feed: str,
+    kind: str,
+    derive: Callable[[DataFrame], DataFrame],
+    again: bool = False,
+    schema: str | None = None,
+) -> DataFrame:
+    """What ``derive`` makes of a feed's nights, as a table of nights beside the feed.
+
+    Each night is derived from its own rows alone, so only nights that were
+    loaded since, or loaded anew, are read; all of them if asked for ``again``.
+    """
+    path, derived = f"{raw}/{feed}_snapshots", f"{raw}/{feed}_{kind}"
+    offered = nights.held_nights(spark, path)
+    if not again:
+        done = nights.held_nights(spark, derived).select("snapshot_date", F.col("recorded_at").alias("derived_at"))
+        offered = offered.join(done, "snapshot_date", "left").where("derived_at is null or recorded_at > derived_at")
+    wanted = {row.snapshot_date: row.row_count for row in offered.collect()}
+    if any(wanted.values()):
+        nights.commit_load(derive(nights.read_nights(spark, path, wanted)), derived, wanted)
+    elif wanted:
+        nights.commit_empty(spark, derived, wanted)
+    return nights.read_nights(spark, derived, schema=schema)
 
 
 def stage_feed(spark: SparkSession, raw: str, feed: str, restage: bool = False) -> DataFrame:
-    """The staged history of a feed, one folder per night. Nights that are staged
-    already are not parsed again unless asked for."""
-    path, staged = f"{raw}/{feed}_snapshots", f"{raw}/{feed}_staged"
-    nights = snapshots.loaded_snapshots(spark, path)
-    if not restage:
-        nights = snapshots.missing_snapshots(nights, snapshots.loaded_snapshots(spark, staged))
-    missing = [row.snapshot_date for row in nights.collect()]
-    rows = staging.STAGERS[feed](spark.read.parquet(path))
-    if missing:
-        snapshots.publish(rows.where(F.col("snapshot_date").isin(missing)), staged)
-    return spark.read.schema(rows.schema).parquet(staged)
+    """The staged history of a feed. Nights that are staged already are not parsed
+    again unless asked for."""
+    return derive_nights(spark, raw, feed, "staged", staging.STAGERS[feed], restage)
+
+
+def check_nights(spark: SparkSession, raw: str, again: bool = False) -> DataFrame:
+    """Verdicts of the raw checks by night. Nights checked already are not read again unless asked for."""
+    verdicts = [
+        derive_nights(spark, raw, feed, "verdicts", partial(quality.night_verdicts, feed=feed), again, quality.VERDICTS)
+        for feed in staging.DATE_FORMATS
+    ]
+    return reduce(DataFrame.unionByName, verdicts)
 
 
 def build_targets(
@@ -109,31 +164,28 @@ def build_targets(
     """Write the ranked mart to ``table`` and the verdict of every check to
     ``<table>_checks``, which is returned.
 
-    Stages that several checks read are written once and deleted at the end. A
-    late feed stops the build: it would turn accounts into ones without
+    Stages that several checks read are written once and deleted at the end. Of
+    the raw feeds only nights new since the last build are read. A late feed stops the build: it would turn accounts into ones without
     opportunities.
     """
-    paths = {f: f"{raw}/{f}_snapshots" for f in snapshots.FEEDS}
-    feeds = {f: spark.read.parquet(path) for f, path in paths.items()}
-    # From the folder names: no file of the history is opened to find the newest night.
-    as_of = latest_date(snapshots.loaded_snapshots(spark, paths["accounts"]))
-    late = crm.late_feeds(as_of, opportunities=feeds["opportunities"]).collect()
+    # From the records: no file of the history is opened to find the newest night.
+    held = {f: nights.held_nights(spark, f"{raw}/{f}_snapshots").where("row_count > 0") for f in snapshots.FEEDS}
+    as_of = latest_date(held["accounts"])
+    late = crm.late_feeds(as_of, opportunities=held["opportunities"]).collect()
     if late:
-        raise snapshots.SnapshotError(f"no rows for the latest night: {[r.feed for r in late]}")
+        raise nights.SnapshotError(f"no rows for the latest night: {[r.feed for r in late]}")
     staged = {f: stage_feed(spark, raw, f, restage) for f in snapshots.FEEDS}
     rollup = staging.stage_market(spark.table(market_table), normalised=True)
     with scratch(spark):
         stores = materialise(market.store_recent_sales(rollup, policy), "stores")
-        night = latest_date(snapshots.loaded_snapshots(spark, paths["contacts"]))
+        night = latest_date(held["contacts"])
         people = materialise(crm.primary_contact(staged["contacts"], policy, night), "people")
         # Straight from its join, still laid out by account, for the contacts.
         current = crm.accounts_current(staged["accounts"], staged["opportunities"], as_of)
         mart = targets.target_accounts(current, stores, people, policy)
         mart.write.mode("overwrite").saveAsTable(table)
-        failures = quality.all_parse_failures(feeds["accounts"], feeds["opportunities"])
         models = quality.Models(
-            accounts_raw=feeds["accounts"],
-            failures=materialise(failures, "failures"),
+            verdicts=check_nights(spark, raw, restage),
             **staged,
             products=staging.stage_products(spark.table(catalogue_table)),
             market=rollup,
@@ -147,6 +199,12 @@ def build_targets(
     return spark.table(f"{table}_checks")
 
 
+def sweep_raw(spark: SparkSession, raw: str) -> int:
+    """Delete what died loads left in the feeds and what is derived from them; returns how many loads."""
+    kinds = ("snapshots", "staged", "verdicts")
+    return sum(nights.sweep(spark, f"{raw}/{feed}_{kind}") for feed in snapshots.FEEDS for kind in kinds)
+
+
 def policy_of(spark: SparkSession, path: str | None, choices: list[str]) -> TargetingPolicy:
     """The policy of a JSON file, with ``FIELD=JSON`` choices on top."""
     text = spark.read.option("wholetext", True).text(path).first().value if path else "{}"
@@ -169,10 +227,13 @@ def main(argv: list[str] | None = None) -> int:
     rollup.add_argument("--force", action="store_true")
     rollup.add_argument("--estimate", action="store_true")
     rollup.add_argument("--buckets", type=int, default=tables.BUCKETS)
+    rollup.add_argument("--state")
     ranked = jobs.add_parser("targets")
     for name in ("raw", "market_table", "catalogue_table", "table"):
         ranked.add_argument(name)
     ranked.add_argument("--restage", action="store_true")
+    swept = jobs.add_parser("sweep")
+    swept.add_argument("raw")
     for one in (rollup, ranked):
         one.add_argument("--policy")
         one.add_argument("--set", action="append", default=[], metavar="FIELD=JSON")
@@ -182,11 +243,17 @@ def main(argv: list[str] | None = None) -> int:
         feeds = (args.feed,) if args.feed else snapshots.FEEDS
         print(sync_crm(spark, args.landing, args.raw, feeds, args.catalogue, args.multi_line))
         return 0
+    if args.job == "sweep":
+        print(f"{sweep_raw(spark, args.raw)} loads deleted")
+        return 0
     policy = policy_of(spark, args.policy, args.set)
     if args.job == "market" and args.estimate:
-        print(f"{args.sales}: {market_bytes(spark, args.sales, policy):,} bytes from {policy.sales_start} on")
+        files = increments.list_files(spark, args.sales)
+        if args.state and not args.force:
+            files = increments.pending_files(spark, args.sales, args.state, policy.market_choices())
+        print(f"{args.sales}: {market_bytes(spark, files, policy):,} bytes from {policy.sales_start} on")
     elif args.job == "market":
-        built = build_market(spark, args.sales, args.table, policy, args.force, args.buckets)
+        built = build_market(spark, args.sales, args.table, policy, args.force, args.buckets, args.state)
         print("built" if built else "kept")
     else:
         verdicts = build_targets(

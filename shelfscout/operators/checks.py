@@ -80,6 +80,7 @@ class ModelChecks:
     data: DataFrame
     row_rules: list[tuple[str, str, Column]] = field(default_factory=list)
     keyed: list[tuple[str, str, DataFrame]] = field(default_factory=list)
+    counted: list[tuple[str, DataFrame]] = field(default_factory=list)
 
     def not_null(self, *columns: str) -> ModelChecks:
         self.row_rules += [("not_null", c, not_null_rule(c)) for c in columns]
@@ -114,8 +115,13 @@ class ModelChecks:
         self.keyed.append((check, "", violations))
         return self
 
+    def counts(self, check: str, violations: DataFrame) -> ModelChecks:
+        """A check whose violations were counted before, in parts: ``violations`` of each part."""
+        self.counted.append((check, violations))
+        return self
+
     def __len__(self) -> int:
-        return len(self.row_rules) + len(self.keyed)
+        return len(self.row_rules) + len(self.keyed) + len(self.counted)
 
     def result(self) -> DataFrame:
         """One row per check: model, check, column, violations."""
@@ -136,9 +142,12 @@ class ModelChecks:
                 ]
             )
             parts.append(counts.select(F.inline(pairs)))
-        for check, column, bad in self.keyed:
+        whole = [(check, column, bad, F.count(F.lit(1))) for check, column, bad in self.keyed]
+        total = F.coalesce(F.sum("violations"), F.lit(0))
+        whole += [(check, "", parted, total) for check, parted in self.counted]
+        for check, column, bad, violations in whole:
             parts.append(
-                bad.agg(F.count(F.lit(1)).alias("violations")).select(
+                bad.agg(violations.alias("violations")).select(
                     F.lit(self.model).alias("model"),
                     F.lit(check).alias("check_name"),
                     F.lit(column).alias("column_name"),

@@ -15,14 +15,17 @@ POSITION_BITS = 33
 def number_rows(df: DataFrame, order: list[Column], name: str, label: str = "rank") -> DataFrame:
     """Number all rows 1..N in ``order``, which has to be total.
 
-    Rows are range-partitioned by the full order, so equal leading keys (a tier
-    holding most accounts, say) still split on the trailing ones. Each range is
-    sorted and its positions are written together with the rows; the write pins
-    them, because sampled range bounds may differ on a rerun. What remains is one
-    count per range, small by construction, and an addition per row.
+    Rows are written before they are range-partitioned: the bounds come from a
+    sample, and sampling ``df`` itself would compute it twice. They are dealt by
+    the full order, so equal leading keys (a tier holding most accounts, say)
+    still split on the trailing ones. Each range is sorted and its positions are
+    written together with the rows; the write pins them, because sampled bounds
+    may differ on a rerun. What remains is one count per range, small by
+    construction, and an addition per row.
     """
     positioned = (
-        df.repartitionByRange(*order)
+        materialise(df, f"{label}-input")
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )

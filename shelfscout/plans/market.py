@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from shelfscout.functions import exact
 from shelfscout.functions.categories import category_name, classify
 from shelfscout.functions.scoring import safe_ratio
 from shelfscout.policy import CategoryPolicy, TargetingPolicy
@@ -21,51 +21,65 @@ ROLLUP_SUMS = [
     "return_lines",
     "order_lines",
 ]
-# Sums are exact: with doubles the total would depend on the order of the rows.
-# A double becomes the decimal it prints as; nothing is rounded before display.
-EXACT = "decimal(38,18)"
-
-
-def _exact(sales: DataFrame, c: str) -> Column:
-    """An amount as the source has it if that adds up exactly, else as a wide decimal."""
-    kind = sales.schema[c].dataType
-    if isinstance(kind, T.IntegralType):
-        return F.col(c).cast("bigint")
-    return F.col(c) if isinstance(kind, T.DecimalType) else F.col(c).try_cast(EXACT)
+AMOUNTS = ROLLUP_SUMS[:5]
+COUNTS = ROLLUP_SUMS[5:]
+# What the rollup reads of the sales.
+SALES_COLUMNS = [
+    "store_number",
+    *STORE_ATTRIBUTES,
+    "date",
+    "category_name",
+    "sale_dollars",
+    "bottles_sold",
+    "volume_sold_liters",
+]
 
 
-def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
-    """Sales lines to store x year x category group x category.
+def sales_partials(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
+    """Sales lines by the rollup's keys and the store attributes together, with sums
+    that merge: partials of parts of the sales, taken together, fold into the
+    rollup of the whole (``fold_partials``).
 
-    Two steps. The first groups by the keys and the store attributes together:
-    attributes drift slowly, so this is the reduction that matters, done by hash
+    Attributes drift slowly, so this is the reduction that matters, done by hash
     aggregation and combined before the shuffle (a hot store shrinks in every
-    task). The second folds attribute variants into the latest one, on the
-    already small result, again combined before its shuffle, so that even a store
-    whose name changes on every line cannot flood one task.
+    task). Sums are exact (``functions.exact``); nothing is rounded before display.
     """
-    units, dollars, none = F.col("_units"), F.col("_dollars"), F.lit(0)
+    kinds = {c: sales.schema[c].dataType for c in ("sale_dollars", "bottles_sold", "volume_sold_liters")}
     in_range = sales.where(F.col("date") >= F.lit(policy.sales_start).cast("date"))
-    lines = classify(in_range, policy.categories).withColumns(
-        {
-            "year": F.year("date"),
-            "_dollars": _exact(sales, "sale_dollars"),
-            "_units": _exact(sales, "bottles_sold"),
-        }
-    )
-    variants = lines.groupBy(*ROLLUP_KEYS, *STORE_ATTRIBUTES).agg(
-        F.sum(dollars).alias("net_sale_dollars"),
-        F.sum(F.when(units > 0, dollars).otherwise(none)).alias("gross_sale_dollars"),
-        F.sum(F.when(units < 0, dollars).otherwise(none)).alias("returns_dollars"),
-        F.sum(_exact(sales, "volume_sold_liters")).alias("net_volume_liters"),
-        F.sum(units).alias("net_bottles"),
+    lines = classify(in_range, policy.categories).withColumn("year", F.year("date"))
+    for c, kind in kinds.items():
+        if exact.in_parts(kind):
+            lines = lines.withColumns(exact.line_parts(c, kind))
+    units = exact.finite("bottles_sold", kinds["bottles_sold"])
+
+    def sums(c: str, name: str, condition: Column | None = None) -> list[Column]:
+        return exact.sums(c, kinds[c], name, condition)
+
+    return lines.groupBy(*ROLLUP_KEYS, *STORE_ATTRIBUTES).agg(
+        *sums("sale_dollars", "net_sale_dollars"),
+        *sums("sale_dollars", "gross_sale_dollars", units > 0),
+        *sums("sale_dollars", "returns_dollars", units < 0),
+        *sums("volume_sold_liters", "net_volume_liters"),
+        *sums("bottles_sold", "net_bottles"),
         F.count_if(units < 0).alias("return_lines"),
         F.count(F.lit(1)).alias("order_lines"),
         F.max("date").alias("last_purchase_date"),
     )
+
+
+def fold_partials(partials: DataFrame) -> DataFrame:
+    """One row per store, year, category group and category, with the latest attributes.
+
+    Attribute variants, of one load or of many, fold into the latest one, on the
+    already small partials and again combined before the shuffle, so that even a
+    store whose name changes on every line cannot flood one task.
+    """
+    columns = partials.columns
     newest = F.max(F.struct("last_purchase_date", *STORE_ATTRIBUTES)).alias("_newest")
-    folded = variants.groupBy(*ROLLUP_KEYS).agg(
-        newest, *[F.sum(m).alias(m) for m in ROLLUP_SUMS]
+    folded = partials.groupBy(*ROLLUP_KEYS).agg(
+        newest,
+        *[one for name in AMOUNTS for one in exact.merged(name, columns)],
+        *[F.sum(name).alias(name) for name in COUNTS],
     )
     return folded.select(
         "store_number",
@@ -73,11 +87,17 @@ def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
         "year",
         "cat_group",
         "gin_category",
-        *ROLLUP_SUMS,
+        *[exact.total(name, columns) for name in AMOUNTS],
+        *COUNTS,
         F.col("_newest.last_purchase_date").alias("last_purchase_date"),
     )
 
 
+def sales_rollup(sales: DataFrame, policy: TargetingPolicy) -> DataFrame:
+    """Sales lines to store x year x category group x category, in the two steps above."""
+    return fold_partials(sales_partials(sales, policy))
+
+
 def _sum_where(condition: Column, value: str) -> Column:
     return F.sum(F.when(condition, F.col(value)).otherwise(F.lit(0)))
 

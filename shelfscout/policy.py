@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field, fields, replace
+from dataclasses import asdict, dataclass, field, fields, replace
 from typing import Any
 
 # Category names of the public sales feed, exactly as it spells them.
@@ -101,6 +101,10 @@ class TargetingPolicy:
         """Won accounts are customers already; lost ones leave only on request."""
         return ("closed_won", "closed_lost") if self.exclude_closed_lost else ("closed_won",)
 
+    def market_choices(self) -> str:
+        """What the sales rollup depends on, as text."""
+        return json.dumps({"categories": asdict(self.categories), "sales_start": self.sales_start}, sort_keys=True)
+
     def changed(self, choices: Mapping[str, Any]) -> TargetingPolicy:
         """The policy with some fields set, by name; ``categories`` takes a mapping of its own fields."""
         return _changed(self, choices)

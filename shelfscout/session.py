@@ -77,6 +77,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path; none if it does not exist."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.listStatus(root) if system.exists(root) else []
+    return sorted(one.getPath().getName() for one in found if one.isDirectory())
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Deletes at its end what ``materialise`` wrote inside it, and nothing else.

@@ -1,9 +1,8 @@
 """Incremental load of dated full-snapshot CSV exports.
 
 A feed arrives as one file per night, ``crm_<feed>_<date>.csv``. The destination
-is Parquet partitioned by ``snapshot_date``, every source column as text plus
-three lineage columns. What is loaded is read from the destination itself, so
-there is no separate state to fall out of step.
+is a table of nights (``sources.nights``): every source column as text plus the
+lineage columns, a night visible once its record is written.
 
 Line layout is a property of the feed, stated by the caller and the same at any
 file size. Rows end in LF or CRLF; a carriage return anywhere else stops the load.
@@ -16,29 +15,19 @@ Unquoted empty CSV fields arrive as NULL rather than ''; staging treats both the
 
 from __future__ import annotations
 
-import datetime as dt
-import uuid
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfscout.functions.cleaning import row_hash
-from shelfscout.session import remove_folder
+from shelfscout.sources.nights import SnapshotError, commit_load, held_nights, read_nights
 
-# Error conditions that mean "nothing written there yet".
-NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 # Fixed value: layout of an export file name.
 SNAPSHOT_FILE = r"^crm_(\w+)_(\d{4}-\d{2}-\d{2})\.csv$"
 FEEDS = ("accounts", "contacts", "opportunities")
 LINEAGE = ("snapshot_date", "_source_file", "_loaded_at", "_row_hash")
 
 
-class SnapshotError(RuntimeError):
-    """The load stopped before or after the write because something did not add up."""
-
-
 def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
@@ -78,20 +67,8 @@ def missing_snapshots(available: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def loaded_snapshots(spark: SparkSession, table: str) -> DataFrame:
-    """Nights in the destination; none if it does not exist yet.
-
-    Read from the partition folders: no data file is opened.
-    """
-    night = F.col("snapshot_date").cast("date").alias("snapshot_date")
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(table)
-    except AnalysisException as problem:
-        if problem.getCondition() not in NO_TABLE:
-            raise
-        files = None
-    if files is None or "snapshot_date" not in files.columns:
-        return spark.range(0).select(F.lit(None).cast("date").alias("snapshot_date"))
-    return files.select(night).distinct()
+    """Nights in the destination; none if it does not exist yet. Only records are read."""
+    return held_nights(spark, table).select("snapshot_date")
 
 
 def csv_options(multi_line: bool) -> dict[str, str]:
@@ -165,33 +142,23 @@ def check_destination_columns(spark: SparkSession, table: str, columns: list[str
     The reader compares files with each other; drift between two runs shows up
     only against what is stored.
     """
-    try:
-        held = spark.read.parquet(table).columns
-    except AnalysisException as problem:
-        if problem.getCondition() in NO_TABLE:
-            return
-        raise
-    stored = [c for c in held if c not in LINEAGE]
+    newest = held_nights(spark, table).where("row_count > 0").agg(F.max("snapshot_date")).first()[0]
+    if newest is None:
+        return
+    stored = [c for c in read_nights(spark, table, [newest]).columns if c not in LINEAGE]
     if stored != columns:
         raise SnapshotError(f"column drift: {table} holds {stored}, the export has {columns}")
 
 
-def reconcile(spark: SparkSession, table: str, nights: list[dt.date], sent: int) -> None:
-    """Count the loaded nights again at the destination and compare."""
-    landed = spark.read.parquet(table).where(F.col("snapshot_date").isin(nights)).count()
-    if landed != sent:
-        raise SnapshotError(f"{table}: sent {sent:,} rows, the destination holds {landed:,}")
-
-
 def sync_feed(
     spark: SparkSession, root: str, feed: str, table: str, multi_line: bool = False
 ) -> int:
     """Load the nights of one feed that ``table`` lacks; returns how many.
 
-    One job for the whole gap, written beside the destination and counted there;
-    only what adds up is published, night by night as a whole. A load that stops
-    anywhere before that leaves the destination as it was, and the next run loads
-    the same nights. Only nights and paths reach the driver.
+    One job for the whole gap, written once, in place, counted there and only
+    then recorded. A load that stops anywhere before that leaves the nights of
+    the destination as they were, and the next run loads the same ones. Only
+    nights and paths reach the driver.
     """
     offered = list_snapshots(spark, root, feed)
     gap = missing_snapshots(offered, loaded_snapshots(spark, table)).collect()
@@ -203,30 +170,10 @@ def sync_feed(
     check_layout(spark, paths, multi_line)
     columns = header_of(spark, paths[0], multi_line)
     check_destination_columns(spark, table, columns)
-    sent = Observation()
-    rows = with_lineage(read_snapshot_csv(spark, paths, columns, multi_line))
-    incoming = f"{table.rstrip('/')}_incoming/{uuid.uuid4().hex}"
-    try:
-        counted = rows.observe(sent, F.count(F.lit(1)).alias("row_count"))
-        counted.write.partitionBy("snapshot_date").parquet(incoming)
-        if sent.get["row_count"]:
-            reconcile(spark, incoming, nights, sent.get["row_count"])
-            publish(spark.read.schema(rows.schema).parquet(incoming), table)
-    finally:
-        remove_folder(spark, incoming)
+    commit_load(with_lineage(read_snapshot_csv(spark, paths, columns, multi_line)), table, nights)
     return len(nights)
 
 
-def publish(rows: DataFrame, table: str) -> None:
-    """Put whole nights in place; nights that are there already are replaced."""
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date")
-        .parquet(table)
-    )
-
-
 def snapshot_counts(df: DataFrame) -> DataFrame:
     """Rows per night."""
     return df.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("row_count"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 BUCKETS = 64
+# Schemes that Arrow spells differently.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 class ScanBudgetError(RuntimeError):
@@ -55,6 +59,70 @@ def selected_bytes(
     return listing.load(path).agg(F.sum("length").alias("total")).first().total or 0
 
 
+def _uri(path: str) -> str:
+    scheme, rest = path.split(":", 1)
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    return f"{ARROW_SCHEMES.get(scheme, scheme)}:{rest}"
+
+
+def _chunk_bytes(path: str, columns: set[str], column: str | None, least: Any) -> int:
+    """Stored bytes of the columns in the row groups that may hold a value from ``least`` on."""
+    from pyarrow import fs
+    from pyarrow import parquet as pq
+
+    system, name = fs.FileSystem.from_uri(_uri(path))
+    total = 0
+    with system.open_input_file(name) as file:
+        meta = pq.ParquetFile(file).metadata
+        for group in (meta.row_group(i) for i in range(meta.num_row_groups)):
+            chunks = [group.column(i) for i in range(group.num_columns)]
+            if column is not None:
+                held = [c.statistics for c in chunks if c.path_in_schema == column]
+                most = held[0].max if held and held[0] is not None and held[0].has_min_max else None
+                if isinstance(most, dt.datetime):
+                    most = most.date()
+                if most is not None and most < least:
+                    continue
+            total += sum(c.total_compressed_size for c in chunks if c.path_in_schema.split(".")[0] in columns)
+    return total
+
+
+def column_bytes(
+    spark: SparkSession,
+    files: DataFrame,
+    columns: list[str],
+    since: tuple[str, dt.date] | None = None,
+) -> int:
+    """Stored bytes a scan of these columns reads, from the files' footers.
+
+    ``files`` has ``path`` and ``length``, as a listing gives them; only footers
+    are read, by tasks. With ``since``, a date column and its first wanted day,
+    row groups that end before it do not count; a listing that knows the column
+    from its folders leaves whole files out. A file in a store Arrow cannot open
+    counts whole, so the estimate is never too low.
+    """
+    column, least = since or (None, None)
+    if column in files.columns:
+        files = files.where(F.col(column) >= F.lit(least))
+        column = None
+    wanted = set(columns)
+
+    def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            sizes = []
+            for path, length in zip(part.column("path").to_pylist(), part.column("length").to_pylist(), strict=True):
+                try:
+                    sizes.append(_chunk_bytes(path, wanted, column, least))
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    sizes.append(length)
+            yield pa.record_batch([pa.array(sizes, pa.int64())], names=["size"])
+
+    # A listing has about one partition per file.
+    listing = files.select("path", "length").coalesce(4 * spark.sparkContext.defaultParallelism)
+    return listing.mapInArrow(task, "size long").agg(F.sum("size").alias("total")).first().total or 0
+
+
 def check_budget(selected: int, ceiling: int, path: str = "the input") -> None:
     """A ceiling of 0 means none."""
     if ceiling and selected > ceiling:
@@ -88,6 +156,20 @@ def write_clustered(df: DataFrame, table: str, key: str, buckets: int = BUCKETS)
     )
 
 
+def mark(spark: SparkSession, table: str, name: str, value: str) -> None:
+    """Set a property of a table. Replacing the table drops it."""
+    quoted = value.replace("'", "\\'")
+    spark.sql(f"alter table {table} set tblproperties ('{name}' = '{quoted}')")
+
+
+def marked(spark: SparkSession, table: str, name: str) -> str | None:
+    """A property of a table; None without it, or without the table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    found = spark.sql(f"show tblproperties {table}").where(F.col("key") == name).first()
+    return found.value if found else None
+
+
 def read_ranked(spark: SparkSession, table: str) -> DataFrame:
     """A ranked mart, best first."""
     return spark.table(table).orderBy("target_rank")

@@ -1,19 +1,21 @@
 """Dated exports as a stream: each run picks up only the files it has not seen.
 
-The state is the stream's checkpoint, so this is an alternative to
-``sources.snapshots.sync_feed``; do not point both at the same destination.
+What was read is the state of the stream's checkpoint; what has landed, batch by
+batch, is in the records of the destination (``sources.nights``), which may be
+the one ``sources.snapshots.sync_feed`` loads as long as each night comes once.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import datetime as dt
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfscout.sources.nights import SnapshotError, commit_load, recount
 from shelfscout.sources.snapshots import (
     LINEAGE,
-    NO_TABLE,
-    SnapshotError,
     check_destination_columns,
     csv_options,
     raw_schema,
@@ -34,38 +36,40 @@ def snapshot_stream(
     return with_lineage(files)
 
 
-def _held(spark: SparkSession, table: str) -> int:
-    try:
-        return spark.read.parquet(table).count()
-    except AnalysisException as problem:
-        if problem.getCondition() in NO_TABLE:
-            return 0
-        raise
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's own id, which its checkpoint keeps over restarts."""
+    text = spark.read.text(f"{checkpoint}/metadata").first().value
+    return json.loads(text)["id"]
 
 
 def run_available(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Load whatever has arrived, exactly once, then stop.
 
-    Like the batch load it refuses columns the destination does not have, and
-    counts the destination again afterwards. The recount covers runs whose
-    progress Spark still remembers (``spark.sql.streaming.numRecentProgressUpdates``
-    batches, 100 by default).
+    Every batch is a load of its own in the destination, named by the stream and
+    the batch and recorded with its nights and rows, so a batch that runs again
+    after a crash replaces itself. A batch is counted where it lies before it is
+    recorded; at the end all nights this run recorded are counted once more.
+    Like the batch load it refuses columns the destination does not have, and a
+    second file for a night.
     """
     spark = stream.sparkSession
     check_destination_columns(spark, table, [c for c in stream.columns if c not in LINEAGE])
-    before = _held(spark, table)
+    nights: set[dt.date] = set()
+
+    def land(batch: DataFrame, number: int) -> None:
+        load = f"s{stream_name(spark, checkpoint)}-{number:09d}"
+        nights.update(commit_load(batch, table, load=load, new_only=True))
+
     query = (
-        stream.writeStream.format("parquet")
-        .partitionBy("snapshot_date")
+        stream.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
-        .option("path", table)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    progress = query.recentProgress
-    remembered = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
-    sent, landed = sum(one["numInputRows"] for one in progress), _held(spark, table) - before
-    if len(progress) < remembered and sent != landed:
-        raise SnapshotError(f"{table}: the stream sent {sent:,} rows, {landed:,} landed")
+    lost = recount(spark, table, nights).first() if nights else None
+    if lost:
+        raise SnapshotError(
+            f"{table}: {lost.snapshot_date}: {lost.row_count:,} rows recorded, {lost.landed:,} at the destination"
+        )
     return query

@@ -22,6 +22,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfscout.policy import CategoryPolicy, TargetingPolicy
+from shelfscout.session import folder_names
 
 TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -214,3 +215,16 @@ def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = feed_sql(name, "spark")
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in text}
     return spark.sql(text, **used)
+
+
+def write_exports(rows: DataFrame, folder: str, name: str) -> None:
+    """A feed as its source would export it: one CSV file per night, named by it."""
+    spark = rows.sparkSession
+    options = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows.repartition("snapshot_date").write.partitionBy("snapshot_date").options(**options).csv(f"{folder}/written")
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for night in folder_names(spark, f"{folder}/written"):
+        (part,) = system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/written/{night}/part-*"))
+        named = f"{folder}/crm_{name}_{night.removeprefix('snapshot_date=')}.csv"
+        system.rename(part.getPath(), spark._jvm.org.apache.hadoop.fs.Path(named))

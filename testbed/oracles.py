@@ -48,6 +48,11 @@ def _ratio(a: str, b: str) -> str:
     return f"cast({a} as double) / nullif(cast({b} as double), 0)"
 
 
+# Columns of an account export.
+EXPORTED = (
+    "account_id account_name city address store_number segment account_owner status "
+    "contract_start_date last_activity_date created_date annual_target_gbp"
+).split()
 CATS = POLICY.categories
 NAME = _trim("upper(category_name)")
 # Both are looked up, by name, in what the policy lists.
@@ -512,6 +517,12 @@ SQL: dict[str, str] = {
     "streamed_snapshot_counts": """
         select cast(cast(ts as date) as varchar) as snapshot_date, count(*) as row_count
         from events group by 1""",
+    "streamed_exports": _sql(f"""
+        select cast(snapshot_date as varchar) as snapshot_date, count(*) as row_count,
+          count(distinct account_id) as accounts,
+          cast(sum(length(concat_ws('|', {", ".join(f"coalesce({c}, '')" for c in EXPORTED)}))) as bigint) as characters,
+          'crm_accounts_' || cast(snapshot_date as varchar) || '.csv' as file_name
+        from accounts_raw group by snapshot_date"""),
     "snapshot_inventory": _sql("""
         select count(distinct snapshot_date) as snapshots, count(*) as row_count
         from snapshots_raw"""),

@@ -16,9 +16,9 @@ from shelfscout.operators.latest import latest_date
 from shelfscout.plans import crm, market, quality, reports, staging, targets
 from shelfscout.policy import TargetingPolicy
 from shelfscout.session import materialise, shared_folder
-from shelfscout.sources import snapshots
+from shelfscout.sources import nights, snapshots
 from shelfscout.streaming import snapshot_stream
-from testbed.feeds import POLICY, feed
+from testbed.feeds import POLICY, feed, write_exports
 
 NO_LOSSES = replace(POLICY, exclude_closed_lost=True, premium_floor=0)
 EQUAL_LOSSES = replace(POLICY, demote_closed_lost=False, premium_floor=150000)
@@ -235,7 +235,25 @@ def streamed_snapshot_counts(bed: Bed) -> DataFrame:
         .withColumn("snapshot_date", F.col("ts").cast("date"))
     )
     snapshot_stream.run_available(arriving, f"{landed}/rows", f"{landed}/state")
-    return snapshots.snapshot_counts(spark.read.parquet(f"{landed}/rows"))
+    return snapshots.snapshot_counts(nights.read_nights(spark, f"{landed}/rows"))
+
+
+@query
+def streamed_exports(bed: Bed) -> DataFrame:
+    """The accounts written as nightly exports, taken in as a stream of files, then looked at by night."""
+    spark, root = bed.spark, f"{shared_folder(bed.spark)}/exports-{uuid.uuid4().hex}"
+    columns = [c for c in bed.accounts_raw.columns if c not in snapshots.LINEAGE]
+    write_exports(bed.accounts_raw.select(*columns, "snapshot_date"), f"{root}/landing", "accounts")
+    arriving = snapshot_stream.snapshot_stream(spark, f"{root}/landing", "accounts", columns)
+    snapshot_stream.run_available(arriving, f"{root}/rows", f"{root}/state")
+    held = nights.read_nights(spark, f"{root}/rows")
+    texts = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in columns])
+    return held.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("account_id").alias("accounts"),
+        F.sum(F.length(texts)).alias("characters"),
+        F.max(F.regexp_extract("_source_file", "[^/]*$", 0)).alias("file_name"),
+    )
 
 
 # --- market ----------------------------------------------------------------------
@@ -451,8 +469,12 @@ def check_suite(bed: Bed) -> DataFrame:
         "accounts", "opportunities", "contacts", "market", "stores", "current", "people", "mart"
     )
     models = quality.Models(
-        accounts_raw=bed.accounts_raw,
-        failures=materialise(parse_failures(bed), "failures"),
+        verdicts=materialise(
+            quality.night_verdicts(bed.accounts_raw, "accounts").unionByName(
+                quality.night_verdicts(bed.opportunities_raw, "opportunities")
+            ),
+            "verdicts",
+        ),
         accounts=bed.accounts,
         opportunities=bed.opportunities,
         contacts=bed.contacts,

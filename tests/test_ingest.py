@@ -7,7 +7,9 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from shelfscout.sources import snapshots, tables
+from shelfscout.sources import nights as tables_of_nights
+from shelfscout.sources import increments, snapshots, tables
+from shelfscout.sources.nights import read_nights
 from shelfscout.streaming import snapshot_stream
 
 HEADER = "account_id,account_name,city"
@@ -88,7 +90,7 @@ def test_sync_loads_the_gap_once(spark, landing, tmp_path):
     table = str(tmp_path / "raw" / "accounts_snapshots")
     assert snapshots.loaded_snapshots(spark, table).count() == 0
     assert snapshots.sync_feed(spark, str(landing), "accounts", table, multi_line=True) == 2
-    held = spark.read.parquet(table)
+    held = read_nights(spark, table)
     assert held.dtypes == [
         ("account_id", "string"), ("account_name", "string"), ("city", "string"),
         ("_source_file", "string"), ("_loaded_at", "timestamp"), ("_row_hash", "string"), ("snapshot_date", "date"),
@@ -105,12 +107,11 @@ def test_sync_loads_the_gap_once(spark, landing, tmp_path):
     assert snapshots.sync_feed(spark, str(landing), "accounts", table) == 0
     write(landing, "2025-11-06", ["A1,x,y", "A2,x,y", "A3,x,y"])
     assert snapshots.sync_feed(spark, str(landing), "accounts", table) == 1
-    assert not list((tmp_path / "raw" / "accounts_snapshots_incoming").iterdir())
-    counts = snapshots.snapshot_counts(spark.read.parquet(table))
+    counts = snapshots.snapshot_counts(read_nights(spark, table))
     assert rows(counts.select(F.col("snapshot_date").cast("string"), "row_count")) == [
         ("2025-11-04", 2), ("2025-11-05", 1), ("2025-11-06", 3),
     ]
-    assert rows(snapshots.snapshot_inventory(spark.read.parquet(table))) == [(3, 6)]
+    assert rows(snapshots.snapshot_inventory(read_nights(spark, table))) == [(3, 6)]
 
 
 LAYOUTS = {
@@ -140,7 +141,7 @@ def test_line_layout_gives_the_same_at_any_size(spark, tmp_path, layout, many):
             assert snapshots.loaded_snapshots(spark, table).count() == 0
         else:
             snapshots.sync_feed(spark, str(root), "accounts", table)
-            counted = spark.read.parquet(table).groupBy(*HEADER.split(",")).count()
+            counted = read_nights(spark, table).groupBy(*HEADER.split(",")).count()
             assert rows(counted) == sorted((*row, many) for row in expected)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
@@ -150,43 +151,11 @@ def test_feeds_with_line_breaks_say_so(spark, tmp_path):
     root, table = tmp_path / "landing", str(tmp_path / "raw")
     write(root, "2025-11-04", ['A1,"two\nlines, ""quoted""",Ames'], header='account_id,"account\nname",city')
     snapshots.sync_feed(spark, str(root), "accounts", table, multi_line=True)
-    held = spark.read.parquet(table)
+    held = read_nights(spark, table)
     assert held.columns[:3] == ["account_id", "account\nname", "city"]
     assert held.first()[1] == 'two\nlines, "quoted"'
 
 
-def test_a_load_that_does_not_add_up_is_not_published(spark, landing, tmp_path, monkeypatch):
-    table = str(tmp_path / "raw")
-    snapshots.sync_feed(spark, str(landing), "accounts", table, multi_line=True)
-    before = rows(spark.read.parquet(table))
-    write(landing, "2025-11-06", ["A1,x,y"])
-    sound = snapshots.reconcile, snapshots.publish
-
-    def fails(*_):
-        raise snapshots.SnapshotError("forced")
-
-    # Once at the count, once in the middle of publishing.
-    for name, step in zip(("reconcile", "publish"), sound, strict=True):
-        monkeypatch.setattr(snapshots, name, fails)
-        with pytest.raises(snapshots.SnapshotError, match="forced"):
-            snapshots.sync_feed(spark, str(landing), "accounts", table)
-        assert rows(spark.read.parquet(table)) == before
-        monkeypatch.setattr(snapshots, name, step)
-    assert snapshots.sync_feed(spark, str(landing), "accounts", table) == 1
-    assert spark.read.parquet(table).count() == len(before) + 1
-
-
-def test_a_repeated_night_replaces_its_rows(spark, landing, tmp_path):
-    table = str(tmp_path / "raw")
-    snapshots.sync_feed(spark, str(landing), "accounts", table, multi_line=True)
-    paths = [str(landing / "crm_accounts_2025-11-04.csv")]
-    again = snapshots.with_lineage(snapshots.read_snapshot_csv(spark, paths, HEADER.split(",")))
-    again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "snapshot_date"
-    ).parquet(table)
-    assert spark.read.parquet(table).count() == 3
-
-
 @pytest.mark.parametrize("header", ["account_id,city,account_name", "account_id,account_name,town", "account_id,account_name"])
 def test_column_drift_between_files_stops_the_load(spark, landing, tmp_path, header):
     values = ",".join("xyz"[: header.count(",") + 1])
@@ -204,22 +173,13 @@ def test_column_drift_against_the_destination_stops_the_load(spark, landing, tmp
         snapshots.sync_feed(spark, str(landing), "accounts", table)
 
 
-def test_reconcile_notices_lost_rows(spark, landing, tmp_path):
-    table = str(tmp_path / "raw")
-    snapshots.sync_feed(spark, str(landing), "accounts", table, multi_line=True)
-    night = [dt.date(2025, 11, 4)]
-    snapshots.reconcile(spark, table, night, 2)
-    with pytest.raises(snapshots.SnapshotError, match="sent 3"):
-        snapshots.reconcile(spark, table, night, 3)
-
-
 def test_stream_loads_each_file_once(spark, landing, tmp_path):
     table, state = str(tmp_path / "streamed"), str(tmp_path / "state")
 
     def run():
         stream = snapshot_stream.snapshot_stream(spark, str(landing), "accounts", HEADER.split(","), multi_line=True)
         snapshot_stream.run_available(stream, table, state)
-        return rows(snapshots.snapshot_counts(spark.read.parquet(table)).select(F.col("snapshot_date").cast("string"), "row_count"))
+        return rows(snapshots.snapshot_counts(read_nights(spark, table)).select(F.col("snapshot_date").cast("string"), "row_count"))
 
     first = [("2025-11-04", 2), ("2025-11-05", 1)]
     assert run() == first
@@ -237,21 +197,67 @@ def test_stream_refuses_columns_the_destination_lacks(spark, landing, tmp_path):
 
 
 def test_stream_counts_what_landed(spark, landing, tmp_path, monkeypatch):
-    counts = iter([0, 1])
-    monkeypatch.setattr(snapshot_stream, "_held", lambda *_: next(counts))
+    sound = tables_of_nights._record
+
+    def record_one_more(spark, root, load, landed):
+        sound(spark, root, load, {night: count + 1 for night, count in landed.items()})
+
+    monkeypatch.setattr(tables_of_nights, "_record", record_one_more)
     stream = snapshot_stream.snapshot_stream(spark, str(landing), "accounts", HEADER.split(","), multi_line=True)
-    with pytest.raises(snapshots.SnapshotError, match="sent 3 rows, 1 landed"):
+    with pytest.raises(snapshots.SnapshotError, match="rows recorded"):
         snapshot_stream.run_available(stream, str(tmp_path / "s"), str(tmp_path / "state"))
 
 
+def file_by_file(spark, root):
+    return (
+        spark.readStream.schema(snapshots.raw_schema(HEADER.split(",")))
+        .options(**snapshots.csv_options(False), maxFilesPerTrigger=1)
+        .csv(str(root))
+    )
+
+
+def test_the_recount_covers_batches_spark_has_forgotten(spark, tmp_path):
+    """More batches than the progress Spark remembers, over a restart, one of them run twice."""
+    root, table, state = tmp_path / "landing", str(tmp_path / "s"), tmp_path / "state"
+    days = [dt.date(2025, 1, 1) + dt.timedelta(n) for n in range(9)]
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for n, day in enumerate(days[:6]):
+            write(root, day, [f"A{i},x,y" for i in range(n + 1)])
+        query = snapshot_stream.run_available(snapshots.with_lineage(file_by_file(spark, root)), table, str(state))
+        assert len(query.recentProgress) <= 2
+        # As after a crash between the record and the end of the last batch: it runs again.
+        last = max((state / "commits").glob("[0-9]*"), key=lambda path: int(path.name))
+        last.unlink()
+        for name in (state / "commits").glob(".*.crc"):
+            name.unlink()
+        for n, day in enumerate(days[6:], 6):
+            write(root, day, [f"A{i},x,y" for i in range(n + 1)])
+        snapshot_stream.run_available(snapshots.with_lineage(file_by_file(spark, root)), table, str(state))
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    counts = snapshots.snapshot_counts(read_nights(spark, table))
+    assert rows(counts) == [(day, n + 1) for n, day in enumerate(days)]
+    assert tables_of_nights.recount(spark, table).count() == 0
+
+
 def test_stream_equals_batch(spark, landing, tmp_path):
     stream = snapshot_stream.snapshot_stream(spark, str(landing), "accounts", HEADER.split(","), multi_line=True)
     snapshot_stream.run_available(stream, str(tmp_path / "s"), str(tmp_path / "state"))
     snapshots.sync_feed(spark, str(landing), "accounts", str(tmp_path / "b"), multi_line=True)
-    streamed, batch = (spark.read.parquet(str(tmp_path / p)).drop("_loaded_at") for p in "sb")
+    streamed, batch = (read_nights(spark, str(tmp_path / p)).drop("_loaded_at") for p in "sb")
     assert rows(streamed.select(*batch.columns)) == rows(batch)
 
 
+def test_stream_and_batch_share_a_destination(spark, landing, tmp_path):
+    table = str(tmp_path / "raw")
+    snapshots.sync_feed(spark, str(landing), "accounts", table, multi_line=True)
+    stream = snapshot_stream.snapshot_stream(spark, str(landing), "accounts", HEADER.split(","), multi_line=True)
+    with pytest.raises(Exception, match="several files for one night"):
+        snapshot_stream.run_available(stream, table, str(tmp_path / "state"))
+    assert read_nights(spark, table).count() == 3
+
+
 def test_replace_and_build_once(spark, tmp_path):
     path = str(tmp_path / "catalogue.parquet")
     spark.range(3).write.parquet(path)
@@ -283,6 +289,69 @@ def test_scan_budget(spark, tmp_path):
     assert tables.selected_bytes(spark, path, condition=F.col("id") < 0) == 0
 
 
+def test_estimate_by_column_and_date(spark, tmp_path):
+    """Against the footers of files written here, read another way."""
+    from pyarrow import parquet as pq
+
+    path = tmp_path / "sales"
+    days = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 100).cast("int"))
+    wide = spark.range(4000).select("id", days.alias("date"), F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    wide.coalesce(1).sortWithinPartitions("date").write.option("parquet.block.size", 20_000).parquet(str(path))
+    (file,) = path.glob("*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert meta.num_row_groups > 3
+
+    def stored(columns, since=dt.date(1, 1, 1)):
+        groups = [meta.row_group(i).to_dict()["columns"] for i in range(meta.num_row_groups)]
+        ends = [next(c["statistics"]["max"] for c in g if c["path_in_schema"] == "date") for g in groups]
+        return sum(c["total_compressed_size"] for g, end in zip(groups, ends, strict=True) if end >= since
+                   for c in g if c["path_in_schema"] in columns)
+
+    files = increments.list_files(spark, str(path))
+    everything = tables.column_bytes(spark, files, ["id", "date", "name"])
+    assert everything == stored(["id", "date", "name"]) <= file.stat().st_size
+    fewer = tables.column_bytes(spark, files, ["id", "date"])
+    assert fewer == stored(["id", "date"]) < everything
+    since = dt.date(2024, 1, 30)
+    later = tables.column_bytes(spark, files, ["id", "date"], ("date", since))
+    assert 0 < later == stored(["id", "date"], since) < fewer
+    assert tables.column_bytes(spark, files, ["id"], ("date", dt.date(2025, 1, 1))) == 0
+    foreign = files.withColumn("path", F.lit("viewfs://store/x.parquet"))
+    assert tables.column_bytes(spark, foreign, ["id"]) == file.stat().st_size
+    by_day = str(tmp_path / "by_day")
+    wide.where("id < 1000").repartition("date").write.partitionBy("date").parquet(by_day)
+    listed = increments.list_files(spark, by_day)
+    part = tables.column_bytes(spark, listed, ["id"], ("date", dt.date(2024, 1, 6)))
+    assert 0 < part < tables.column_bytes(spark, listed, ["id"])
+
+
+def test_increments_take_in_every_file_once(spark, tmp_path):
+    source, state = str(tmp_path / "source"), str(tmp_path / "state")
+
+    def derive(rows):
+        return rows.groupBy("month").agg(F.sum("id").alias("total"))
+
+    def read(made_by="a"):
+        return dict(map(tuple, increments.read_state(spark, state, made_by).groupBy("month").agg(F.sum("total")).collect()))
+
+    spark.range(10).withColumn("month", F.col("id") % 2).coalesce(1).write.partitionBy("month").parquet(source)
+    assert increments.take_in(spark, source, state, "a", derive) == 2
+    assert increments.take_in(spark, source, state, "a", derive) == 0
+    assert read() == {0: 20, 1: 25}
+    spark.range(100, 102).withColumn("month", F.lit(2)).coalesce(1).write.mode("append").partitionBy("month").parquet(source)
+    seen = []
+    increments.take_in(spark, source, state, "a", lambda rows: seen.extend(rows.inputFiles()) or derive(rows))
+    assert len(seen) == 1 and "month=2" in seen[0]
+    assert read() == {0: 20, 1: 25, 2: 201}
+    # A load without its record does not count, nor does what was made another way.
+    (tmp_path / "state" / "load=ldead").mkdir()
+    assert increments.take_in(spark, source, state, "b", derive) == 3
+    assert read() == read("b") == {0: 20, 1: 25, 2: 201}
+    next((tmp_path / "source").glob("month=0/*.parquet")).unlink()
+    with pytest.raises(increments.ChangedSourceError, match="gone or has changed"):
+        increments.take_in(spark, source, state, "a", derive)
+
+
 def test_clustered_tables_join_without_a_shuffle(spark):
     from conftest import plan
 

@@ -10,7 +10,7 @@ from shelfscout import TargetingPolicy, jobs
 from shelfscout.operators.latest import latest_date
 from shelfscout.plans import crm, market, staging
 from shelfscout.session import materialise, shared_folder
-from shelfscout.sources.snapshots import SnapshotError
+from shelfscout.sources.nights import SnapshotError, read_nights
 from shelfscout.sources.tables import ScanBudgetError
 
 ACCOUNTS = (
@@ -114,6 +114,30 @@ def test_the_rollup_respects_its_ceiling(spark, sales):
     assert not spark.catalog.tableExists("never_built")
 
 
+def test_the_market_takes_in_new_months_only(spark, sales, tmp_path):
+    state, policy = str(tmp_path / "state"), TargetingPolicy()
+    built = lambda **more: jobs.build_market(spark, sales, "growing", policy, buckets=2, state=state, **more)
+    assert (built(), built()) == (True, False)
+    old = spark.read.parquet(sales)
+    late = old.where("store_number = '10'").selectExpr(
+        "store_number", "'renamed' as store_name", "address", "city", "county", "date'2025-04-01' as date",
+        "category_name", "0.1 as sale_dollars", "-1 as bottles_sold", "volume_sold_liters")
+    late.select([late[c].cast(t) for c, t in old.dtypes]).write.mode("append").parquet(sales)
+    taken = set(jobs.increments.pending_files(spark, sales, state, policy.market_choices()).toPandas().path)
+    assert 0 < len(taken) < len(old.inputFiles()) + 1
+    assert (built(), built()) == (True, False)
+    grown = rows(spark.table("growing"))
+    jobs.build_market(spark, sales, "rebuilt", policy, buckets=2)
+    assert grown == rows(spark.table("rebuilt"))
+    assert {r.store_name for r in spark.table("growing").where("store_number = '10'").collect()} == {"renamed"}
+    # A run that died after taking files in: the table is written again.
+    jobs.tables.mark(spark, "growing", jobs.LOADS, "older")
+    assert (built(), built()) == (True, False)
+    assert built(force=True) is True and rows(spark.table("growing")) == grown
+    with pytest.raises(ScanBudgetError):
+        jobs.build_market(spark, sales, "growing", TargetingPolicy(scan_ceiling_bytes=10, sales_start="2022-01-01"), state=state)
+
+
 def test_the_market_table_keeps_its_layout(spark, sales):
     """No exchange under the store pivot, whatever the broadcast limit."""
     assert jobs.build_market(spark, sales, "laid_out", TargetingPolicy(), buckets=4)
@@ -149,14 +173,42 @@ def test_history_is_staged_once(spark, landing, tmp_path, monkeypatch):
     assert stamps < {r[0] for r in again.select("_metadata.file_path").distinct().collect()}
     assert again.where("snapshot_date = '2026-05-03'").count() == 1
     restaged = jobs.stage_feed(spark, raw, "accounts", restage=True)
-    fresh = staging.stage_accounts(spark.read.parquet(f"{raw}/accounts_snapshots"))
+    fresh = staging.stage_accounts(read_nights(spark, f"{raw}/accounts_snapshots"))
     assert rows(restaged.select(*fresh.columns)) == rows(fresh)
 
 
+def test_a_second_build_reads_only_the_new_night(spark, landing, sales, catalogue, tmp_path):
+    raw, policy = str(tmp_path / "raw"), TargetingPolicy()
+    jobs.sync_crm(spark, str(landing), raw, catalogue=catalogue)
+    jobs.build_market(spark, sales, "nightly_market", policy)
+    jobs.build_targets(spark, raw, "nightly_market", "product_catalogue", "nightly_mart", policy)
+    old = [path for feed in ("accounts", "contacts", "opportunities")
+           for path in Path(raw, f"{feed}_snapshots").glob("load=*/snapshot_date=*/*.parquet")]
+    assert len(old) >= 6
+    for feed, header, lines in (
+        ("accounts", ACCOUNTS, [account(1), account(1, name="Other"), account(2).replace("2022-01-31", "31/01/2022")]),
+        ("contacts", CONTACTS, ["CON-1,ACC-1,Jo,Doe,Owner,JO1@X.COM,1,http://x"]),
+        ("opportunities", OPPORTUNITIES, [opportunity(1, "Negotiation"), opportunity(2, "Prospecting").replace("GBP 1,200.50", "to be agreed")]),
+    ):
+        (landing / f"crm_{feed}_2026-05-03.csv").write_text("\n".join([header, *lines]) + "\n")
+    jobs.sync_crm(spark, str(landing), raw)
+    kept = {path: path.read_bytes() for path in old}
+    for path in old:
+        path.write_bytes(b"not to be opened")
+        path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    again = rows(jobs.build_targets(spark, raw, "nightly_market", "product_catalogue", "nightly_mart", policy))
+    for path, content in kept.items():
+        path.write_bytes(content)
+    whole = jobs.build_targets(spark, raw, "nightly_market", "product_catalogue", "whole_mart", policy, restage=True)
+    assert rows(whole) == again and len(again) == 65
+    found = {row.check_name: row.violations for row in whole.where("model in ('accounts_raw', 'raw_feeds')").collect()}
+    assert found == {"duplicates_agree": 1, "dates_parse": 1, "money_parses": 1}
+
+
 def test_staging_reads_only_what_is_asked_for(spark, landing, tmp_path):
     raw = str(tmp_path / "raw")
     jobs.sync_crm(spark, str(landing), raw)
-    staged = staging.stage_opportunities(spark.read.parquet(f"{raw}/opportunities_snapshots"))
+    staged = staging.stage_opportunities(read_nights(spark, f"{raw}/opportunities_snapshots"))
     scanned = plan(crm.opportunity_rollup(staged)).split("ReadSchema: struct<")[1].split(">")[0]
     assert {field.split(":")[0] for field in scanned.split(",")} <= {
         "opportunity_id", "account_id", "stage", "last_activity_date", "value_gbp", "_loaded_at", "_row_hash",

@@ -210,3 +210,18 @@ def test_suite_reports_one_row_per_check(spark):
         ],
         key=repr,
     )
+
+
+def test_ranking_computes_its_input_once(spark):
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            computed.add(part.num_rows)
+            yield part
+
+    made = spark.range(5000, numPartitions=4).mapInArrow(count, "id long").selectExpr("id", "id % 2 as tier")
+    ranked = number_rows(made, [F.col("tier"), F.col("id").desc()], "place")
+    want = [(i, i % 2, 2500 * (i % 2) + (4999 - i) // 2 + 1) for i in range(5000)]
+    assert rows(ranked) == sorted(want, key=repr)
+    assert computed.value == 5000

@@ -2,7 +2,7 @@
 
 import datetime as dt
 from dataclasses import replace
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import pytest
 from conftest import plan, rows
@@ -98,6 +98,61 @@ def test_rollup_sums_are_exact(spark):
     assert market.sales_rollup(odd, POLICY).first().net_sale_dollars is None
 
 
+def lines(spark, amounts, units=None):
+    units = units or [1.0] * len(amounts)
+    rows = [("1", *"xxxx", D(2024, 1, 1), "RUM", a, u, 0.75) for a, u in zip(amounts, units, strict=True)]
+    names = ["store_number", *market.STORE_ATTRIBUTES]
+    schema = ", ".join(f"{c} string" for c in names) + ", date date, category_name string, sale_dollars double, bottles_sold double, volume_sold_liters double"
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.mark.parametrize(
+    "amounts",
+    [
+        [6e19, 6e19, 6e19],
+        [1.5e21, 0.01, -1.5e21],
+        [9e15, 9007199254740993.0, 0.1, 0.2],
+        [1e11, -1e11, 99999999999.9999, 123456.78901, 1e-15, 5e-324],
+        [0.1, 0.2, 0.3, -0.0, None, float("nan"), float("inf")],
+        [-1.0001, -2.5, -(2.0**-20), 1 / 3, 2 / 3, 12345.6789],
+    ],
+)
+def test_sums_equal_those_of_the_printed_decimals(spark, amounts):
+    units = [float((i % 3) - 1) for i in range(len(amounts))]
+    (row,) = market.sales_rollup(lines(spark, amounts, units), POLICY).collect()
+
+    def total(wanted):
+        held = [a for a, u in zip(amounts, units, strict=True) if wanted(u) and a is not None and abs(a) < float("inf")]
+        return sum((Decimal(repr(a)).quantize(Decimal("1e-15"), rounding="ROUND_HALF_UP") for a in held), Decimal(0))
+
+    with localcontext(prec=60):
+        assert row.net_sale_dollars == total(lambda u: True)
+        assert row.gross_sale_dollars == total(lambda u: u > 0)
+        assert row.returns_dollars == total(lambda u: u < 0)
+    assert row.net_volume_liters == Decimal("0.75") * len(amounts)
+
+
+def test_an_amount_beyond_all_totals_stops_the_job(spark):
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        market.sales_rollup(lines(spark, [1e24]), POLICY).collect()
+
+
+def test_ordinary_lines_meet_no_wide_decimal(spark):
+    text = plan(market.sales_partials(lines(spark, [1.0]), POLICY))
+    assert "SortAggregate" not in text and text.count("HashAggregate") == 2
+    found = market.sales_partials(lines(spark, [1.0, 19.99, 0.0004, 1e10]), POLICY).first()
+    assert found.net_sale_dollars_rest is None and found.net_sale_dollars_high is not None
+
+
+def test_partials_of_parts_fold_into_the_rollup_of_the_whole(spark):
+    whole = lines(spark, [1.25, 1 / 3, 6e19, None, -4.0, 0.1], [1.0, -1.0, 0.5, 1.0, -2.0, 0.0])
+    whole = whole.withColumn("store_name", F.concat(F.lit("shop "), F.col("bottles_sold"))).withColumn(
+        "date", F.date_add("date", F.col("bottles_sold").cast("int"))
+    )
+    parts = [market.sales_partials(whole.where(c), POLICY) for c in ("bottles_sold > 0", "bottles_sold <= 0")]
+    assert rows(market.fold_partials(parts[0].union(parts[1]))) == rows(market.sales_rollup(whole, POLICY))
+
+
 def test_rollup_pushes_the_date_and_reads_only_its_columns(spark, sales, tmp_path):
     path = str(tmp_path / "sales")
     sales.withColumn("invoice", F.lit("x")).write.parquet(path)
@@ -434,8 +489,9 @@ def test_parse_failures(spark, accounts_raw, opportunities_raw):
 def suite_of(accounts_raw, opportunities_raw, contacts_raw, rollup, current, people, stores, mart, products):
     return quality.declared_checks(
         quality.Models(
-            accounts_raw=accounts_raw,
-            failures=quality.all_parse_failures(accounts_raw, opportunities_raw),
+            verdicts=quality.night_verdicts(accounts_raw, "accounts").union(
+                quality.night_verdicts(opportunities_raw, "opportunities")
+            ),
             accounts=staging.stage_accounts(accounts_raw),
             opportunities=staging.stage_opportunities(opportunities_raw),
             contacts=staging.stage_contacts(contacts_raw),
