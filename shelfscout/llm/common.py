@@ -35,20 +35,24 @@ def text_key(name: str) -> Column:
     return F.xxhash64(text_of(name))
 
 
+def rows_by_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id`` and ``key`` of every row, the row itself in a column ``row``: no name of it can clash."""
+    row = F.struct(*[F.col(f"`{name}`").alias(name) for name in docs.columns]).alias("row")
+    return docs.select(row, F.col(f"`{id_col}`").alias("id"), text_key(text_col).alias("key"))
+
+
 def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows of ``docs`` that ``decided`` (id, text_key, kept) keeps, all columns as they were.
 
     Ids may be null or repeated: rows are found by id and text. Of rows equal in
     both, one stays if ``decided`` keeps only one of them.
     """
-    names = docs.columns
-    key = [F.col(f"`{id_col}`").alias("__id"), text_key(text_col).alias("__key")]
-    kept = decided.where("kept").select(F.col("id").alias("__kept_id"), F.col("text_key").alias("__kept_key"))
+    keyed = rows_by_key(docs, id_col, text_col)
+    kept = decided.where("kept").select(F.col("id").alias("kept_id"), F.col("text_key").alias("kept_key"))
     repeated = decided.groupBy("id", "text_key").count().where("count > 1")
-    keyed = docs.select("*", *key)
     once = not repeated.isEmpty()
     if once:
-        keyed = keyed.dropDuplicates(["__id", "__key"])
+        keyed = keyed.dropDuplicates(["id", "key"])
         kept = kept.distinct()
-    found = F.col("__id").eqNullSafe(F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key"))
-    return keyed.join(kept, found, "left_semi").select(*[F.col(f"`{name}`") for name in names])
+    found = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key"))
+    return keyed.join(kept, found, "left_semi").select("row.*")

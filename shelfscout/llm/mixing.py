@@ -22,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfscout.llm.common import text_key, text_of
+from shelfscout.llm.common import rows_by_key, text_key, text_of
 from shelfscout.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows of one cell and size that are ranked together.
 RANKED = 1000
+# Parts that the documents of one cell and size are dealt to where they meet their quota.
+SALTS = 16
 
 
 def source_targets(
@@ -176,8 +178,9 @@ def mix(
         F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
     )
     sized = materialise(sized, "sizes")
-    per_source = sized.groupBy("source").agg(F.sum("size").alias("size"))
-    totals = {row.source: row.size for row in per_source.select("source", F.col("size").alias("size")).collect()}
+    # Written: one row per source, read again by every Newton step.
+    per_source = materialise(sized.groupBy("source").agg(F.sum("size").alias("size")), "source-sizes")
+    totals = {row.source: row["size"] for row in per_source.collect()}
     targets = source_targets(totals, share, weights, most)
     names = sorted(targets, key=lambda name: (name is None, name or ""))
     spark = docs.sparkSession
@@ -202,8 +205,11 @@ def mix(
     )
     order = F.xxhash64("id", "text_key")
     parts = F.ceil(F.col("rows") / RANKED)
-    placed = named.join(given, ["cell", "size"]).withColumn("order", order).withColumn("part", F.pmod("order", parts))
-    placed = materialise(placed, "placed")
+    # Dealt by a salt as well: one length may be that of most documents of a source.
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    salted = named.withColumn("order", order).withColumn("salt", F.pmod("order", F.lit(SALTS).cast("long")))
+    placed = salted.join(given.select("*", salts), ["cell", "size", "salt"]).drop("salt")
+    placed = materialise(placed.withColumn("part", F.pmod("order", parts)), "placed")
     counts = placed.groupBy("cell", "size", "part").agg(F.count(F.lit(1)).alias("here"))
     before = Window.partitionBy("cell", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("cell", "size", "part", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("before"))
@@ -223,16 +229,13 @@ def copy_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -
     Rows are found by id and text; of rows equal in both, one stands for all and
     gets their copies together.
     """
-    names = docs.columns
-    keyed = docs.select("*", F.col(f"`{id_col}`").alias("__id"), text_key(text_col).alias("__key"))
+    keyed = rows_by_key(docs, id_col, text_col)
     wanted = decided.groupBy("id", "text_key").agg(
-        F.sum("copies").cast("int").alias("__copies"), F.count(F.lit(1)).alias("__rows")
+        F.sum("copies").cast("int").alias("copies"), F.count(F.lit(1)).alias("rows")
     )
-    wanted = materialise(wanted.withColumnsRenamed({"id": "__to_id", "text_key": "__to_key"}), "copies")
-    if not wanted.where("__rows > 1").isEmpty():
-        keyed = keyed.dropDuplicates(["__id", "__key"])
-    found = F.col("__id").eqNullSafe(F.col("__to_id")) & (F.col("__key") == F.col("__to_key"))
-    taken = keyed.join(wanted.where("__copies > 0"), found)
-    return taken.select(
-        *[F.col(f"`{name}`") for name in names], F.explode(F.array_repeat(F.lit(1), F.col("__copies"))).alias("__copy")
-    ).drop("__copy")
+    wanted = materialise(wanted.withColumnsRenamed({"id": "to_id", "text_key": "to_key"}), "copies")
+    if not wanted.where("rows > 1").isEmpty():
+        keyed = keyed.dropDuplicates(["id", "key"])
+    found = F.col("id").eqNullSafe(F.col("to_id")) & (F.col("key") == F.col("to_key"))
+    taken = keyed.join(wanted.where("copies > 0"), found)
+    return taken.select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*")

@@ -12,7 +12,8 @@ its k-th score. Cells are joined with the queries that ask for them in blocks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 from shelfscout.session import materialise
 
-# Pivots, distance steps per pivot, vectors the pivots are chosen from.
-PIVOTS, RINGS, SAMPLE = 32, 16, 2048
+# The least number of pivots, rows per pivot and pivot (pivots grow with the root of the rows, and cells
+# with them), distance steps per pivot, and the vectors that pivots are chosen from: at least, and per pivot.
+PIVOTS, CROWD, RINGS = 32, 16, 16
+SAMPLE, SAMPLED = 2048, 16
 # Rows of a cell, and queries that ask for it, that one task multiplies.
 BLOCK = 4096
 FIRST = 4
@@ -38,14 +41,15 @@ def _vectors(table: DataFrame, id_col: str, vector_col: str, scale: int) -> Data
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows = [np.floor(scale * np.array(x.as_py(), float)) for x in part.column("x")]
+            lists = part.column("x")
+            # 0.0 is added for the sign of zeros: equal vectors have equal bytes.
+            values = np.floor(scale * lists.flatten().to_numpy(zero_copy_only=False)) + 0.0
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+            held = [None, pa.py_buffer(8 * ends), pa.py_buffer(values.tobytes())]
+            packed = pa.Array.from_buffers(pa.large_binary(), len(lists), held).cast(pa.binary())
             yield pa.record_batch(
-                [
-                    part.column("vec_id"),
-                    pa.array([len(row) for row in rows], pa.int32()),
-                    pa.array([(row + 0.0).tobytes() for row in rows], pa.binary()),
-                ],
-                names=["vec_id", "dim", "v"],
+                [part.column("vec_id"), pa.array(sizes, pa.int32()), packed], names=["vec_id", "dim", "v"]
             )
 
     return whole.where(finite).mapInArrow(task, "vec_id long, dim int, v binary")
@@ -93,6 +97,7 @@ def exact_top_k(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     scale: int = 1024,
+    report: Callable[[dict[str, int]], None] | None = None,
 ) -> DataFrame:
     """The ``k`` best candidates of every query: ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``.
 
@@ -106,6 +111,10 @@ def exact_top_k(
     part; vectors of different length are never compared. Fewer candidates than
     ``k`` give fewer rows; an empty table none. A score beyond a long is an error.
     Other columns are not read.
+
+    ``report`` is called once per length of vectors with the numbers of
+    ``queries``, ``rows``, ``pivots`` and pairs ``compared``; pairs the index has
+    pruned are queries times rows less those.
     """
     vectors = materialise(_vectors(table, id_col, vector_col, scale), "vectors")
     # Of equal vectors only the k + 1 smallest ids, k rows each, can be among the best k of a query.
@@ -117,20 +126,29 @@ def exact_top_k(
     found = None
     # Vectors of one length are one search; a table usually has one length.
     for (dim,) in vectors.where(is_query).select("dim").distinct().orderBy("dim").collect():
-        one = _search(rows.where(F.col("dim") == dim), vectors.where(is_query & (F.col("dim") == dim)), k, dim)
+        one = _search(rows.where(F.col("dim") == dim), vectors.where(is_query & (F.col("dim") == dim)), k, dim, report)
         found = one if found is None else found.unionByName(one)
     if found is None:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     return found
 
 
-def _search(rows: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
-    spark = rows.sparkSession
-    share = min(1.0, SAMPLE / max(1, rows.count()))
+def pivots_for(rows: int) -> int:
+    """With CROWD * p * p rows and more, p pivots: a cell's rows and a query's cells grow alike."""
+    return max(PIVOTS, math.isqrt(rows // CROWD))
+
+
+def _search(
+    rows: DataFrame, queries: DataFrame, k: int, dim: int, report: Callable[[dict[str, int]], None] | None
+) -> DataFrame:
+    spark, total = rows.sparkSession, rows.count()
+    few_pivots = pivots_for(total)
+    wanted_sample = max(SAMPLE, SAMPLED * few_pivots)
+    share = min(1.0, wanted_sample / max(1, total))
     few = rows.withColumn("order", F.xxhash64("v"))
     if share < 1:
         few = few.where(F.col("order") < F.lit(int((2 * share - 1) * (2**63 - 1))))
-    sample = _matrix(pa.array([bytes(x.v) for x in few.orderBy("order", "vec_id").limit(SAMPLE).collect()], pa.binary()), dim)
+    sample = _matrix(pa.array([bytes(x.v) for x in few.orderBy("order", "vec_id").limit(wanted_sample).collect()], pa.binary()), dim)
 
     def norms(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -139,7 +157,7 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
     most = float(np.sqrt(rows.select("v").mapInArrow(norms, "n double").agg(F.max("n")).first()[0] or 0.0))
     if not len(sample):
         sample = np.zeros((1, dim))
-    pivots = choose_pivots(_lifted(sample, most), PIVOTS)
+    pivots = choose_pivots(_lifted(sample, most), few_pivots)
     near = _distances(_lifted(sample, most), pivots).min(axis=1)
     width = max(float(near.max()) / RINGS, 1e-12)
 
@@ -160,6 +178,7 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
     cells = index.groupBy("cell").agg(*span).orderBy("cell").collect()
     cell = np.array([x.cell for x in cells], int)
     low, high = (np.array([x[name] for x in cells], float) for name in ("low", "high"))
+    rows_of = {x.cell: x.rows for x in cells}
     parts_of = {x.cell: -(-x.rows // BLOCK) for x in cells}
 
     def upper(vectors: np.ndarray) -> np.ndarray:
@@ -172,7 +191,8 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
     # Numbered, for an id may ask with several vectors; written, the numbers stay.
     queries = queries.select(F.col("vec_id").alias("query_id"), "v").distinct()
     queries = materialise(queries.withColumn("query", F.monotonically_increasing_id()), "queries")
-    best, start, count = None, 0, FIRST
+    best, start, count = None, 0, max(FIRST, len(cell) // 64)
+    compared = 0
     while start < len(cell):
         state = queries.withColumn("least", F.lit(None).cast("double"))
         if best is not None:
@@ -192,6 +212,7 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
         calls = {row.cell: row["count"] for row in wanted.groupBy("cell").count().collect()}  # one row per cell at most
         if not calls:
             break
+        compared += sum(rows_of[c] * n for c, n in calls.items())
         sizes = spark.createDataFrame(
             [(c, parts_of[c], -(-n // BLOCK)) for c, n in calls.items()], "cell long, row_parts int, query_parts int"
         )
@@ -223,6 +244,8 @@ def _search(rows: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
         place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
         best = materialise(new.withColumn("rank", place).where(F.col("rank") <= k), "best")
         start, count = start + count, 2 * count
+    if report is not None:
+        report({"queries": queries.count(), "rows": total, "pivots": len(pivots), "compared": compared})
     if best is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -43,6 +43,26 @@ def test_rejected_documents_go(spark, stages):
     assert sum(want.values()) < stages[0].count()
 
 
+def test_columns_of_any_name_pass_all_stages(spark, stages):
+    """Names that the stages use themselves come through, rows unchanged."""
+    names = ["__id", "__key", "__score", "__copy", "id", "key", "row", "score", "copies", "kept", "to_id", "text_key"]
+    more = stages[0].limit(120).withColumns({name: F.concat(F.lit(name), F.col("doc_id")) for name in names})
+    more = materialise(more, "named")
+    docs = more
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = materialise(stage(spark, docs, SF), "named")
+        assert docs.dtypes == more.dtypes
+    assert 0 < docs.count() and docs.join(more, more.columns, "left_anti").where("source is not null").count() == 0
+    assert pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
+def test_no_label_keeps_every_document(spark, stages, tmp_path):
+    """Nothing learned, every score the same: the corpus goes on."""
+    spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = stages[0].limit(30)
+    assert pipeline.good_quality(spark, docs, str(tmp_path)).count() in (0, 30)
+
+
 def test_one_document_of_each_group_stays(stages):
     groups = {}
     for row in stages[1].collect():

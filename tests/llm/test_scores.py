@@ -443,6 +443,25 @@ def test_top_k_of_large_components_few_and_no_rows(spark):
     assert topk.exact_top_k(big.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_the_index_grows_with_the_table_and_prunes(spark, monkeypatch):
+    monkeypatch.setattr(topk, "PIVOTS", 4)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 6)) * 4
+    shares, pivots = [], []
+    for size in (2000, 12_000):
+        rows = [(i, rng.normal(size=6) + centres[i % 40]) for i in range(size)]
+        table = spark.createDataFrame([(i, x.tolist()) for i, x in rows], "vec_id long, embedding array<double>")
+        said = []
+        found = {tuple(r) for r in topk.exact_top_k(table, F.col("vec_id") % 100 == 0, report=said.append).collect()}
+        assert found == brute_top([(i, np.floor(1024 * x).astype(np.int64)) for i, x in rows], 10)
+        (one,) = said
+        assert one["rows"] == size and one["queries"] == size // 100
+        shares.append(one["compared"] / (one["rows"] * one["queries"]))
+        pivots.append(one["pivots"])
+    assert pivots == [topk.pivots_for(2000), topk.pivots_for(12_000)] == [11, 27]
+    assert shares[0] < 0.8 and shares[1] < shares[0]
+
+
 def test_quality_on_held_out_documents(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
