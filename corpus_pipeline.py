@@ -27,8 +27,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = F.coalesce(F.crc32(F.col(ID).cast("string").cast("binary")) % 5 == 0, F.lit(False))
     model = quality.train(docs, labels, id_col=ID, text_col=TEXT, usable=~held_out)
-    scored = quality.score(docs, model, TEXT, "__score")
-    return scored.where(F.col("__score") >= LEAST_SCORE).drop("__score")
+    # The whole row in one column: no name of it can clash with the score's.
+    row = F.struct(*[F.col(f"`{name}`").alias(name) for name in docs.columns]).alias("row")
+    scored = quality.score(docs.select(row, F.col(TEXT).alias("text")), model, "text", "score")
+    return scored.where(F.col("score") >= LEAST_SCORE).select("row.*")
 
 
 def first_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
