@@ -1,5 +1,7 @@
 """Reports on the market rollup and on the finished mart. All are report-sized
-results of one grouping each; only formatting happens after it."""
+results of one grouping each; only formatting happens after it.
+
+Fixed values throughout: the names and order of report columns, as their readers know them."""
 
 from __future__ import annotations
 
@@ -111,6 +113,7 @@ def overview(mart: DataFrame) -> DataFrame:
 
 def call_sheet(mart: DataFrame) -> DataFrame:
     """The list as a rep reads it."""
+    # The headings and their order.
     return (
         mart.where(on_list())
         .orderBy("target_rank")

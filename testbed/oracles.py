@@ -85,6 +85,8 @@ NO_KEY = "no Iowa store matched (no store_number on the account)"
 DEAD_KEY = "no Iowa store matched (store_number {} not in the market data)"
 PROSPECT = "open prospect, owned by {}, GBP {} open pipeline"
 LOST = "PREVIOUSLY LOST -- demoted within tier; owned by {}"
+# What an account counts as, by the first of these stages it has.
+STATES = {"won": "closed_won", "open": "open", "lost": "closed_lost", "": "no_opportunity"}
 KINDS = {"open": "known_prospect", "closed_lost": "previous_loss"}
 
 
@@ -230,28 +232,34 @@ CTES: dict[str, str] = {
           left join (from per_group where cat_group = 'GIN_PREMIUM') p using (store_number)
           left join (from per_group where cat_group = 'GIN_OTHER') o using (store_number)
           left join (from per_group where cat_group = 'NON_GIN') n using (store_number))""",
+    # Opportunities of the night by account and stage, then what an account shows by looking stages up.
+    "by_stage": """
+        select account_id, stage_group, count(*) as n, sum(value_gbp) as amount, max(last_activity_date) as day
+        from opportunities semi join (select max(snapshot_date) as snapshot_date from accounts_raw)
+          using (snapshot_date) group by all""",
+    "shown": """
+        select account_id, list(stage_group) as stages, map_from_entries(list((stage_group, amount))) as amounts,
+          sum(n) as many, max(day) as day from by_stage group by account_id""",
     "rolled": """
-        select account_id, count(*) as opportunity_count,
-          bool_or(stage_group = 'won') as has_won_opportunity,
-          bool_or(stage_group = 'open') as has_open_opportunity,
-          bool_or(stage_group = 'lost') as has_lost_opportunity,
-          sum(case when stage_group = 'open' then value_gbp else 0 end) as open_pipeline_gbp,
-          max(last_activity_date) as last_opportunity_activity_date
-        from opportunities
-        where snapshot_date = (select max(snapshot_date) from accounts_raw)
-        group by account_id""",
-    "current": """
-        select a.account_id, account_name, store_number, city, address, segment, account_owner,
-          status, annual_target_gbp, contract_start_date, last_activity_date,
-          snapshot_date as crm_as_of_date, coalesce(opportunity_count, 0) as opportunity_count,
-          coalesce(has_won_opportunity, false) as has_won_opportunity,
-          coalesce(has_open_opportunity, false) as has_open_opportunity,
-          coalesce(has_lost_opportunity, false) as has_lost_opportunity,
-          open_pipeline_gbp, last_opportunity_activity_date,
-          case when has_won_opportunity then 'closed_won' when has_open_opportunity then 'open'
-            when has_lost_opportunity then 'closed_lost' else 'no_opportunity' end as crm_state
-        from accounts a left join rolled o on a.account_id = o.account_id
-        where snapshot_date = (select max(snapshot_date) from accounts_raw)""",
+        select account_id, cast(many as bigint) as opportunity_count,
+          'won' in stages as has_won_opportunity, 'open' in stages as has_open_opportunity,
+          'lost' in stages as has_lost_opportunity,
+          if(stages = ['open'], amounts['open'], coalesce(amounts['open'], 0)) as open_pipeline_gbp,
+          day as last_opportunity_activity_date
+        from shown""",
+    "current": f"""
+        select * exclude (created_date, snapshot_date, _source_file, _loaded_at, stages)
+            replace (coalesce(opportunity_count, 0) as opportunity_count,
+              'won' in coalesce(stages, []) as has_won_opportunity,
+              'open' in coalesce(stages, []) as has_open_opportunity,
+              'lost' in coalesce(stages, []) as has_lost_opportunity),
+          snapshot_date as crm_as_of_date,
+          {list(STATES.values())!r}[coalesce(list_min(list_transform(stages,
+            lambda stage: list_position({list(STATES)!r}, stage))), {len(STATES)})] as crm_state
+        from accounts semi join (select max(snapshot_date) as snapshot_date from accounts_raw)
+            using (snapshot_date)
+          left join (from rolled join (select account_id, stages from shown) using (account_id))
+            using (account_id)""",
     "titled": f"""
         select *, coalesce(list_position({list(POLICY.title_precedence)!r}, title), 1000) as place
         from contacts semi join (select max(snapshot_date) as snapshot_date from contacts)
