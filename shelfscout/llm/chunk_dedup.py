@@ -40,6 +40,7 @@ def chunk_dedup(
     id (null last); of rows equal in both, one. Columns: ``id``, ``text_key``,
     ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` (of the text without
     white space). Other input columns are not read. An empty table gives no rows.
+    A text of any length is cut whole by one task; later steps move its chunks and identifiers.
     """
     stripped = F.regexp_replace(text_of(text_col), f"{WHITE_SPACE}+", "")
     cut = docs.select(

@@ -481,6 +481,7 @@ def score(
     and null ids are rows of their own. With nothing to learn from, all counts
     are 0 and every decision starts even. An empty table gives no rows; other
     columns are not read.
+    A text of any length is one task's work, a part of it at a time in memory.
     """
     spark = docs.sparkSession
     read = docs.select(

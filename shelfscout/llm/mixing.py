@@ -170,6 +170,7 @@ def mix(
     Repeated rows are rows of their own; equal ones may differ in copies by one.
     Other columns are not read; an empty table gives no rows. One total per
     source reaches the driver, as many as there are targets.
+    A text of any length is counted whole by one task.
     """
     sized = docs.select(
         F.col(f"`{id_col}`").alias("id"),

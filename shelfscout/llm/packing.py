@@ -275,6 +275,7 @@ def decompose(
     partition, the bucket (log2 of the length) and the place in both, so reruns
     over the same files agree. ``offset`` is always 0. Repeated rows and null
     ids give pieces of their own; other input columns are not read.
+    A text of any length is encoded by one task, a part at a time where the tokenizer allows it.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest is a power of two")

@@ -143,6 +143,7 @@ def train(
     ``usable`` says which rows of ``labels`` may be learned from. Labels other
     than 0 and 1 and null ids are left out; of repeated ids one label and one
     document count. Without any label the model is indifferent (score 0.5).
+    A text of any length gives its features a part at a time.
     """
     known = (labels if usable is None else labels.where(usable)).select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")
@@ -196,6 +197,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
 
     Null and empty texts get the score of the bias alone. A column called
     ``name`` that is already there is replaced.
+    A text of any length gives its features a part at a time.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two floats per feature
 

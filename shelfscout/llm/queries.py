@@ -163,6 +163,18 @@ _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
+    "op4_pivot_top_k": """
+        with vectors as (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+            where vec_id is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        )
+        select q.vec_id as query_id,
+            (row_number() over (partition by q.vec_id order by list_inner_product(q.v, c.v) desc, c.vec_id))::int as rank,
+            c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+        from vectors q join vectors c on q.vec_id != c.vec_id and len(q.v) = len(c.v)
+        where q.vec_id % 100 = 0 qualify rank <= 10
+    """,
     "op6_chunk_recipe_dedup": f"""
         with texts as (
             select doc_id, length(coalesce(text, '')) as points, {_STRIPPED} as stripped from documents

@@ -28,6 +28,7 @@ def byte_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col:
     is a value like any other, and rows equal in id and text are interchangeable.
     ``slot`` counts a shard's rows from 0 without gaps. More shards than rows
     leave some empty; an empty table gives no rows. Other columns are not read.
+    A text of any length is one row of one shard, which it may exceed.
     """
     if shards < 1:
         raise ValueError("at least one shard")

@@ -283,6 +283,7 @@ def near_duplicates(
     none) and ``kept``, true for one row of each component: the one of smallest
     id, nulls last; of rows equal in id, one. Repeated rows are rows of their
     own. Other input columns are not read; an empty table gives no rows.
+    A text of any length is hashed whole by one task.
     """
     prints = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")

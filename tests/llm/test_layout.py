@@ -109,6 +109,26 @@ def test_shards_are_even_contiguous_and_gapless(spark, monkeypatch, shards):
     )
 
 
+@pytest.mark.parametrize("shards", [1, 7, 40])
+def test_shards_are_cut_where_the_prefix_sums_say(spark, shards):
+    """The whole order, row by row: a row goes where its middle byte lies; a very long text included."""
+    rows = [*corpus(), (9001, "x" * 400_000, "s"), (9002, None, "s"), (9002, None, "s"), (None, "y z", None)]
+    found = sorted(sharding.byte_shards(docs(spark, rows), shards).collect(), key=lambda r: (r.shard, r.slot))
+    assert len(found) == len(rows)
+    total, before, slots = sum(r.size for r in found), 0, {}
+    for r in found:
+        assert r.shard == min((2 * before + r.size) * shards // (2 * total), shards - 1)
+        assert r.slot == slots.get(r.shard, 0)
+        slots[r.shard] = r.slot + 1
+        before += r.size
+
+
+def test_a_very_long_text_is_mixed_like_any_other(spark):
+    rows = [(1, "w " * 500_000, "a"), (2, "w w", "a"), (3, "w", "b")]
+    found = {r.id: (r.size, r.source_size) for r in mixing.mix(docs(spark, rows)).collect()}
+    assert found == {1: (500_000, 500_002), 2: (2, 500_002), 3: (1, 1)}
+
+
 def test_shards_of_few_rows_and_nothing(spark):
     assert [r.slot for r in sharding.byte_shards(docs(spark, [(1, "a", "s")]), 5).collect()] == [0]
     assert sharding.byte_shards(docs(spark, []), 5).count() == 0

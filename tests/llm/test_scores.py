@@ -462,6 +462,36 @@ def test_the_index_grows_with_the_table_and_prunes(spark, monkeypatch):
     assert shares[0] < 0.8 and shares[1] < shares[0]
 
 
+def test_hinge_loss_is_minimised():
+    """Dual coordinate descent against projected gradient ascent on the same dual."""
+    rng = np.random.default_rng(2)
+    rows = [(np.unique(rng.integers(0, 64, 12)).astype(np.int32), int(rng.random() < 0.4)) for _ in range(60)]
+    how = quality.Fit(bits=6, epochs=3000, cost=0.3)
+    model = quality._fit(rows, how)
+    learn = [row for i, row in enumerate(rows) if i % 4]
+    ratios = model.ratios.astype(float)
+    inputs = np.zeros((len(learn), 65))
+    for line, (found, _) in zip(inputs, learn, strict=True):
+        line[found] = ratios[found] / np.sqrt(np.square(ratios[found]).sum())
+        line[64] = 1  # the bias
+    y = np.array([2 * label - 1 for _, label in learn])
+    upper = np.where(y > 0, *(how.cost * len(learn) / (2 * max(1, (y == sign).sum())) for sign in (1, -1)))
+    gram = (inputs * y[:, None]) @ (inputs * y[:, None]).T
+    duals, step = np.zeros(len(learn)), 1 / np.linalg.eigvalsh(gram).max()
+    for _ in range(60_000):
+        duals = np.clip(duals + step * (1 - gram @ duals), 0, upper)
+    best = (duals * y) @ inputs
+    assert best[64] == pytest.approx(model.bias, abs=1e-3)
+    assert best[:64] * ratios == pytest.approx(model.weights.astype(float), abs=1e-3)
+
+
+def test_quality_of_a_very_long_text(spark):
+    text = "fine words here " * 200_000
+    model = quality._fit([(quality.features("fine words", 8), 1), (quality.features("bad", 8), 0)] * 8, quality.Fit(bits=8))
+    (row,) = quality.score(docs(spark, [text]), model, name="chance").collect()
+    assert row.chance == pytest.approx(model.score(text))
+
+
 def test_quality_on_held_out_documents(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
