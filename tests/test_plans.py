@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfscout.plans import crm, market, quality, reports, staging, targets
 from shelfscout.operators.latest import latest_date
 from shelfscout.policy import CategoryPolicy, TargetingPolicy
+from shelfscout.sources.nights import commit_load, read_nights
 from shelfscout.sources.snapshots import loaded_snapshots
 
 D = dt.date
@@ -333,8 +334,8 @@ def test_only_the_latest_night_is_read(spark, accounts_raw, opportunities_raw, t
     """The night reaches the folder listing through the deduplication."""
     feeds = {}
     for name, feed in (("accounts", accounts_raw), ("opportunities", opportunities_raw)):
-        feed.write.partitionBy("snapshot_date").parquet(str(tmp_path / name))
-        feeds[name] = spark.read.parquet(str(tmp_path / name))
+        commit_load(feed, str(tmp_path / name))
+        feeds[name] = read_nights(spark, str(tmp_path / name))
     df = crm.accounts_current(
         staging.stage_accounts(feeds["accounts"]),
         staging.stage_opportunities(feeds["opportunities"]),
