@@ -28,8 +28,6 @@ from shelfscout.session import materialise
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows of one cell and size that are ranked together.
 RANKED = 1000
-# Parts that the documents of one cell and size are dealt to where they meet their quota.
-SALTS = 16
 
 
 def source_targets(
@@ -206,11 +204,9 @@ def mix(
     )
     order = F.xxhash64("id", "text_key")
     parts = F.ceil(F.col("rows") / RANKED)
-    # Dealt by a salt as well: one length may be that of most documents of a source.
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
-    salted = named.withColumn("order", order).withColumn("salt", F.pmod("order", F.lit(SALTS).cast("long")))
-    placed = salted.join(given.select("*", salts), ["cell", "size", "salt"]).drop("salt")
-    placed = materialise(placed.withColumn("part", F.pmod("order", parts)), "placed")
+    # One length may be that of most documents of a source: adaptive execution splits such a key of an inner join.
+    placed = named.join(given, ["cell", "size"]).withColumn("order", order).withColumn("part", F.pmod("order", parts))
+    placed = materialise(placed, "placed")
     counts = placed.groupBy("cell", "size", "part").agg(F.count(F.lit(1)).alias("here"))
     before = Window.partitionBy("cell", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("cell", "size", "part", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("before"))
