@@ -38,7 +38,7 @@ SETTLED = re.compile("[\t\n\r\x20-\x7e\xa1-\u024f]*")
 # Words that surely neither begin nor end with white space.
 INKED = "^[!-~\u00a1-\u024f](.*[!-~\u00a1-\u024f])?$"
 # Characters encoded at a time, and words in a worker's memory before it starts the next.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 20
 REMEMBERED = 400_000
 
 PIECES = pa.schema(
