@@ -8,6 +8,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from shelfscout.functions import exact
 from shelfscout.plans import crm, market, quality, reports, staging, targets
 from shelfscout.operators.latest import latest_date
 from shelfscout.policy import CategoryPolicy, TargetingPolicy
@@ -154,6 +155,28 @@ def test_partials_of_parts_fold_into_the_rollup_of_the_whole(spark):
     assert rows(market.fold_partials(parts[0].union(parts[1]))) == rows(market.sales_rollup(whole, POLICY))
 
 
+def test_variants_are_sorted_by_a_hash_of_their_keys(spark):
+    text = plan(market.sales_rollup(lines(spark, [1.0]), POLICY))
+    assert "Sort [_hash#" in text
+    whole = lines(spark, [1.0, 2.0, 4.0, None, 1e10], [1.0, -1.0, 1.0, 1.0, 1.0])
+    whole = whole.withColumn("store_number", F.when(F.col("sale_dollars") < 3, F.col("store_number")))
+    found = market.sales_rollup(whole, POLICY).groupBy("store_number").agg(F.sum("net_sale_dollars"))
+    assert rows(found.where("store_number is null")) == [(None, Decimal("10000000004.000000000000000"))]
+
+
+def test_totals_agree_on_both_sides_of_the_short_path(spark):
+    limit = exact.MOST_HIGH
+    held = [(limit, 5, None), (limit + 1, 5, None), (-limit, 7, None), (-limit - 1, 7, None), (3, exact.MOST_LOW + 9, None)]
+    held += [(None, None, None), (1, 2, Decimal("0.5")), (None, None, Decimal("0.25"))]
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(held)], "i int, a_high long, a_low long, a_rest decimal(38,15)")
+    found = [row[0] for row in df.orderBy("i").select(exact.total("a", df.columns)).collect()]
+    with localcontext(prec=60):
+        for (high, low, rest), amount in zip(held, found, strict=True):
+            parts = [] if high is None else [(Decimal(high) * (1 << exact.LOW_BITS) + low) / exact.UNITS]
+            parts += [] if rest is None else [rest]
+            assert amount == (sum(parts) if parts else None)
+
+
 def test_rollup_pushes_the_date_and_reads_only_its_columns(spark, sales, tmp_path):
     path = str(tmp_path / "sales")
     sales.withColumn("invoice", F.lit("x")).write.parquet(path)
