@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from conftest import plan
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -150,3 +151,22 @@ def test_title_case_equals_python(spark, texts):
 def test_format_rounds_half_even_like_python(spark, factor):
     value = float(factor) * 100
     assert column_of(spark, [value], display.fmt_int(F.col("c")), "double") == [f"{value:,.0f}"]
+
+
+def test_quick_paths_of_cleaning_and_dates_equal_the_slow_ones(spark):
+    edges = [None, "", " ", "\t", "a", " a", "a ", " a　", "é", " é ", "aé", "\x7f", "\x7fa ", "\x1ca", "a​", " ", "x y\n"]
+    days = ["31/02/2024", "29/02/2024", "01/12/1999", " 01/12/1999 ", "1/2/2024", "01/12/0099", "01/12/0000", "01/12/1999\n"]
+    days += ["2024-02-30", "2024-02-29", "2024-2-9", "0000-01-01", "0099-01-01", "2024-13-01", "٠١/١٢/١٩٩٩", "007/01/2024", "01/12/+12024"]
+    df = spark.createDataFrame([(v,) for v in edges + days], "v string")
+    slow = F.nullif(F.btrim("v", F.lit(cleaning.WHITESPACE)), F.lit(""))
+    pairs = [
+        (cleaning.trimmed("v"), F.btrim("v", F.lit(cleaning.WHITESPACE))),
+        (cleaning.clean_string("v"), slow),
+        (cleaning.parse_dmy("v"), F.try_to_date(slow, "d/M/yyyy")),
+        (cleaning.parse_iso("v"), F.try_to_date(slow, "yyyy-M-d")),
+    ]
+    unlike = [F.struct("v", a.alias("a"), b.alias("b")) for a, b in pairs]
+    for one in unlike:
+        assert df.select(one.alias("o")).where("not (o.a <=> o.b)").collect() == []
+    quick = df.select(cleaning.parse_dmy("v"), cleaning.parse_iso("v"))
+    assert "RLIKE" in plan(quick)
