@@ -21,15 +21,15 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscout.llm.common import text_of, words_of
+from shelfscout.llm.common import text_of
 from shelfscout.session import materialise
 
 # Hashed contexts of a word's decisions, and of a byte's.
@@ -37,6 +37,8 @@ WORD_CONTEXTS, BYTE_CONTEXTS = 3, 3
 # Added to both counts of a context; symbols and characters worked on at a time.
 PRIOR = np.float32(0.4)
 SYMBOLS, AT_ONCE = 1 << 13, 1 << 20
+# Groups of that many characters whose words are looked up together.
+TOGETHER = 8
 # Symbols of the first block; blocks double up to ``SYMBOLS``.
 FIRST = 1 << 6
 # Symbols up to which every block renews what it touched of the derived tables, and
@@ -52,8 +54,9 @@ MARKERS = 32
 CLASSES = np.array([0, 1, 1, 2, 2, 2, 2, 2, 2, 3], np.uint16)
 STEPS, REACH = 97, 12.0  # refinement: points, and the largest sum they span
 LEVELS = 255  # a context's stretched probability is held in one byte
-STRETCHED = np.tile(np.linspace(-REACH, REACH, LEVELS + 1, dtype=np.float32), 4)  # by code, whatever its class
+STRETCHED = np.linspace(-REACH, REACH, LEVELS + 1, dtype=np.float32)  # by that byte
 FAITH = 20.0  # decisions' worth of trust in the unrefined probability
+DEEP = 50  # chances of that many decisions can be multiplied before a double underflows
 PACE = 0.25  # part of a diagonal Newton step the weights take
 BLOCK = 1 << 13  # slots that travel together
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))  # odd multipliers
@@ -101,59 +104,91 @@ class Coder:
                 letters[byte] += count
         lower = huffman([*[letters[byte] + 1 for byte in range(256)], sum(counts) + 1])
         self.word_counts = np.minimum(upper[-1], 2**32 - 1).astype(np.uint32)
-        self.lengths, self.nodes, self.bits = (np.concatenate([upper[i], lower[i]]) for i in range(3))
+        self.lengths = np.concatenate([upper[0], lower[0]])
+        # Nodes of all paths, doubled, and the bit taken there.
+        self.paths = np.concatenate([2 * tree[1] + tree[2] for tree in (upper, lower)])
         self.offsets = np.cumsum(self.lengths) - self.lengths
-        self.index: dict[bytes | None, int] = {}
-
-    def tokens(self, texts: list[list[bytes]]) -> tuple[list[bytes | None], np.ndarray, np.ndarray]:
-        """All texts' words, each text closed by its end (None); their symbols, -1 if spelled; where texts start."""
-        if not self.index:
-            self.index = {word: i for i, word in enumerate(self.words)} | {None: self.end}
-        flat = [word for words in texts for word in (*words, None)]
-        known = np.fromiter(map(self.index.get, flat, repeat(-1)), np.int64, len(flat))
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-        return flat, known, np.cumsum(sizes) - sizes
-
-    def symbols(
-        self, flat: list[bytes | None], known: np.ndarray, starts: np.ndarray
-    ) -> tuple[np.ndarray, np.ndarray]:
+        self.index: pa.Array | None = None
+
+    def look_up(self, words: pa.Array) -> pa.Array:
+        """Each word's symbol, null if it is spelled. Arrow indexes the coded words in every call: ask for many."""
+        if self.index is None:
+            self.index = pa.array(self.words, pa.binary())
+        return pc.index_in(words, value_set=self.index)
+
+    def tokens(
+        self, texts: pa.ListArray | list[list[bytes]], found: pa.Array | None = None
+    ) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Of texts as words, looked up or not: the spelled words; all words' symbols, -1 if spelled, each text
+        closed by its end; where texts start."""
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.list_(pa.binary()))
+        words, sizes = texts.flatten(), texts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        if found is None:
+            found = self.look_up(words)
+        starts = np.cumsum(sizes) - sizes
+        known, within = np.full(int(sizes.sum()), self.end), np.ones(int(sizes.sum()), bool)
+        within[starts + sizes - 1] = False
+        known[within] = found.fill_null(-1).to_numpy(zero_copy_only=False)
+        return words.filter(found.is_null()), known, starts
+
+    def symbols(self, spelled: pa.Array, known: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The tokens' symbols, spelled words as escape, bytes and stop, and where texts start among them."""
-        spelled = list(compress(flat, (known < 0).tolist()))
-        sizes = np.ones(len(flat), np.int64)
-        sizes[known < 0] = np.fromiter(map(len, spelled), np.int64, len(spelled)) + 2
+        letters, wide = letters_of(spelled)
+        at = np.flatnonzero(known < 0)
+        sizes = np.ones(len(known), np.int64)
+        sizes[at] = wide + 2
         places = np.cumsum(sizes) - sizes
         found = np.empty(int(sizes.sum()), np.int64)
         found[places] = np.where(known < 0, self.escape, known)
-        if spelled:
-            first, wide = places[known < 0] + 1, sizes[known < 0] - 2
+        if len(at):
+            first = places[at] + 1
             within = np.arange(int(wide.sum())) - np.repeat(np.cumsum(wide) - wide, wide)
-            found[np.repeat(first, wide) + within] = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64) + self.byte
+            found[np.repeat(first, wide) + within] = letters.astype(np.int64) + self.byte
             found[first + wide] = self.stop
         return found, places[starts]
 
-    def contexts(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Hashes of what stands before each symbol, within its text: as contexts of words and of bytes.
+    def contexts(
+        self, symbols: np.ndarray, starts: np.ndarray, words: np.ndarray, letters: np.ndarray
+    ) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Hashes of what stands before the symbols at some places, within their text: as words, and as bytes.
 
         Of a word: the last very frequent word, the word before, the two before.
         Of a byte: the two, three and four symbols before.
         """
-        before, shifted = [], symbols
+        before, shifted = [], symbols.astype(np.uint64)
         for _ in range(4):
-            shifted = np.r_[self.start, shifted[:-1]]
+            last, shifted = shifted, np.empty_like(shifted)
+            shifted[1:] = last[:-1]
             shifted[starts] = self.start
-            before.append(shifted.astype(np.uint64))
-        at = np.arange(len(symbols))
-        latest = np.r_[-1, np.maximum.accumulate(np.where(symbols < MARKERS, at, -1))[:-1]]
-        marker = np.where(latest >= np.repeat(starts, np.diff(np.r_[starts, len(symbols)])), symbols[latest], self.start)
-        first, second, third, fourth = before
+            before.append(shifted)
+        # Odd: a very frequent word stands there; even: a text starts. The place is half of it.
+        latest = np.zeros(len(symbols), np.int64)
+        marked = np.flatnonzero(symbols[:-1] < MARKERS)
+        latest[marked + 1] = 2 * marked + 1
+        latest[starts] = 2 * starts
+        latest = np.maximum.accumulate(latest)[words]
+        marker = np.where(latest & 1, symbols[latest >> 1], self.start).astype(np.uint64)
+        first, second = (x[words] for x in before[:2])
+        found = [marker, first, first * MIX[0] + second]
+        first, second, third, fourth = (x[letters] for x in before)
         pair = first * MIX[0] + second
         triple = pair * MIX[0] + third
-        words, letters = [marker.astype(np.uint64), first, pair], [pair, triple, triple * MIX[0] + fourth]
-        for found in (words, letters):
-            for order, mixed in enumerate(found):
-                found[order] = (mixed + np.uint64(order + 1)) * MIX[1]
-                found[order] ^= found[order] >> np.uint64(29)
-        return words, letters
+        spelled = [pair, triple, triple * MIX[0] + fourth]
+        for hashes in (found, spelled):
+            for order, mixed in enumerate(hashes):
+                hashes[order] = (mixed + np.uint64(order + 1)) * MIX[1]
+                hashes[order] ^= hashes[order] >> np.uint64(29)
+        return found, spelled
+
+
+def letters_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all words of a binary array, one word after another, and the words' lengths."""
+    if not len(words):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8) if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+    return data[ends[0] : ends[-1]], np.diff(ends).astype(np.int64)
 
 
 def derived(table: np.ndarray) -> np.ndarray:
@@ -203,6 +238,12 @@ class Mixer:
     def refresh(self) -> None:
         self.codes = [derived(table) for table in self.tables]
         self.refine()
+        self.weigh()
+
+    def weigh(self) -> None:
+        """What each input adds to the sum, by gate and level; the constant comes with the first."""
+        self.parts = [(weight[:, None] * STRETCHED).ravel() for weight in self.weights[:-1]]
+        self.parts[0] = (self.weights[-1][:, None] + self.parts[0].reshape(self.gates, -1)).ravel()
 
     def refine(self) -> None:
         steps = np.linspace(-REACH, REACH, STEPS)
@@ -215,7 +256,8 @@ class Mixer:
         """Bit and places in the tables of every decision of some symbols of one tree."""
         lengths = coder.lengths[symbols]
         at = np.arange(int(lengths.sum())) + np.repeat(coder.offsets[symbols] - (np.cumsum(lengths) - lengths), lengths)
-        node, bit = coder.nodes.take(at).astype(np.int64), coder.bits.take(at)
+        path = coder.paths.take(at)
+        bit, node = (path & 1).astype(np.int8), (path >> 1).astype(np.int64)
         salt = (node.view(np.uint64) + np.uint64(1)) * MIX[0]
         shift = np.uint64(64 - (self.slots.bit_length() - 1))
         places = [node]
@@ -227,46 +269,74 @@ class Mixer:
             places.append(place.view(np.int64))
         return bit, places
 
-    def chances(
-        self, places: list[np.ndarray]
-    ) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-        """Mixed probability of a 1, its inputs, gate and refinement cell, and the refined probability."""
+    def sums(self, places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Sum of the weighted inputs, gate, and for each input the gate and level together."""
         codes = [table.take(place) for table, place in zip(self.codes, places, strict=True)]
-        inputs = [STRETCHED.take(code) for code in codes]
         gate = codes[1] >> 8
         for code in codes[2:]:
-            gate *= 4
-            gate += code >> 8
-        gate = gate.astype(np.int64)
-        total = self.weights[-1].take(gate)
-        for weight, x in zip(self.weights, inputs, strict=False):
-            total += weight.take(gate) * x
-        np.clip(total, -REACH, REACH, out=total)
-        chance = 1 / (1 + np.exp(-total))
-        total += np.float32(REACH)
-        total *= np.float32((STEPS - 1) / (2 * REACH))
-        cell = np.minimum(total.astype(np.int64), STEPS - 2)
-        part = total - cell.astype(np.float32)
-        cell += gate * STEPS
+            gate <<= 2
+            gate |= code >> 8
+        high = gate << 8
+        spots = [(high | code & 255).astype(np.int64) for code in codes]
+        total = self.parts[0].take(spots[0])
+        for part, spot in zip(self.parts[1:], spots[1:], strict=True):
+            total += part.take(spot)
+        np.maximum(total, np.float32(-REACH), out=total)
+        np.minimum(total, np.float32(REACH), out=total)
+        return total, gate, spots
+
+    def cells(self, total: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Refinement cell below a sum, and how far the sum is towards the next."""
+        part = total + np.float32(REACH)
+        part *= np.float32((STEPS - 1) / (2 * REACH))
+        cell = np.minimum(part.astype(np.int32), STEPS - 2)
+        part -= cell.astype(np.float32)
+        return cell + gate.astype(np.int32) * STEPS, part
+
+    def chances(self, places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Mixed probability of a 1, and with the refined one."""
+        total, gate, _ = self.sums(places)
+        cell, part = self.cells(total, gate)
+        chance = logistic(total)
+        cell = cell.astype(np.int64)
         refined = self.refined.take(cell)
-        refined += (self.refined.take(cell + 1) - refined) * part
-        cell += part > 0.5
+        cell += 1
+        part *= self.refined.take(cell) - refined
+        refined += part
         # Neither part is ever 0 or 1: sums are clipped, refined chances lean on their prior.
-        return chance, inputs, gate, cell, (chance + refined) / 2
+        refined += chance
+        refined /= 2
+        return chance, refined
 
     def learn(self, coder: Coder, symbols: np.ndarray, contexts: list[np.ndarray]) -> None:
         """Predict a block, correct weights and refinement, count it."""
         bit, places = self.decisions(coder, symbols, contexts)
-        chance, inputs, gate, cell, _ = self.chances(places)
-        miss, spread = bit - chance, chance * (1 - chance)
-        for row, x in enumerate([*inputs, np.float32(1)]):
-            self.evidence[row] += np.bincount(gate, spread * x * x, self.gates)
-            step = PACE * np.bincount(gate, miss * x, self.gates) / self.evidence[row]
-            self.weights[row] += step.astype(np.float32)
-        self.seen[0] += np.bincount(cell, minlength=self.gates * STEPS)
-        self.seen[1] += np.bincount(cell, bit, self.gates * STEPS)
+        total, gate, spots = self.sums(places)
+        cell, part = self.cells(total, gate)
+        chance = logistic(total)
+        miss = (bit - chance).astype(float)
+        chance *= 1 - chance
+        spread = chance.astype(float)
+        # An input takes few values: misses and spreads are added up per gate and value, then multiplied.
+        size, value = (self.gates, LEVELS + 1), STRETCHED.astype(float)
+        for row, spot in enumerate(spots):
+            spreads = np.bincount(spot, spread, self.gates * (LEVELS + 1)).reshape(size)
+            misses = np.bincount(spot, miss, self.gates * (LEVELS + 1)).reshape(size)
+            self.evidence[row] += np.einsum("gv,v->g", spreads, value * value)
+            self.weights[row] += (PACE * np.einsum("gv,v->g", misses, value) / self.evidence[row]).astype(np.float32)
+        self.evidence[-1] += spreads.sum(axis=1)
+        self.weights[-1] += (PACE * misses.sum(axis=1) / self.evidence[-1]).astype(np.float32)
+        self.weigh()
+        cell += part > 0.5
+        cell *= 2
+        cell += bit
+        ended = np.bincount(cell, minlength=2 * self.gates * STEPS).reshape(-1, 2)
+        self.seen[0] += ended[:, 0] + ended[:, 1]
+        self.seen[1] += ended[:, 1]
+        # A pair of counts is taken as one number: a 1 adds to its upper half.
+        added = np.uint64(1) << (bit.astype(np.uint64) << np.uint64(5))
         for table, place in list(zip(self.tables, places, strict=True))[self.given :]:
-            np.add.at(table, 2 * place + bit, np.uint32(1))
+            np.add.at(table.view("<u8"), place, added)
         self.learned += len(symbols)
         self.fresh += len(symbols)
         if self.learned <= EARLY:
@@ -282,9 +352,20 @@ class Mixer:
         """Bits of each symbol."""
         bit, places = self.decisions(coder, symbols, contexts)
         final = self.chances(places)[-1]
+        final -= bit ^ 1
+        final = np.abs(final).astype(float)
         lengths = coder.lengths[symbols]
-        spent = -np.log2(np.where(bit, final, 1 - final))
-        return np.add.reduceat(spent, np.cumsum(lengths) - lengths, dtype=np.float64)
+        begins = np.cumsum(lengths) - lengths
+        if lengths.max(initial=0) > DEEP:
+            return -np.add.reduceat(np.log2(final), begins)
+        return -np.log2(np.multiply.reduceat(final, begins))
+
+
+def logistic(total: np.ndarray) -> np.ndarray:
+    chance = np.negative(total)
+    np.exp(chance, out=chance)
+    chance += 1
+    return np.reciprocal(chance, out=chance)
 
 
 class Model:
@@ -301,13 +382,14 @@ class Model:
     ) -> Iterator[tuple[Mixer, np.ndarray, list[np.ndarray]]]:
         """Each tree's mixer, the places of its symbols, and the contexts there."""
         letter = symbols >= coder.byte
-        for mixer, mine, contexts in zip(self.mixers, (~letter, letter), coder.contexts(symbols, starts), strict=True):
-            places = np.flatnonzero(mine)
-            yield mixer, places, [context[places] for context in contexts]
+        both = np.flatnonzero(~letter), np.flatnonzero(letter)
+        yield from zip(self.mixers, both, coder.contexts(symbols, starts, *both), strict=True)
 
-    def learn(self, coder: Coder, texts: list[list[bytes]]) -> None:
+    def learn(
+        self, coder: Coder, texts: pa.ListArray | list[list[bytes]], found: pa.Array | None = None
+    ) -> None:
         """Take texts in, block by block."""
-        symbols, starts = coder.symbols(*coder.tokens(texts))
+        symbols, starts = coder.symbols(*coder.tokens(texts, found))
         for mixer, places, contexts in self._trees(coder, symbols, starts):
             i = 0
             while i < len(places):
@@ -315,70 +397,85 @@ class Model:
                 mixer.learn(coder, symbols[places[part]], [context[part] for context in contexts])
                 i = part.stop
 
-    def token_bits(
-        self, coder: Coder, flat: list[bytes | None], known: np.ndarray, starts: np.ndarray
-    ) -> np.ndarray:
+    def token_bits(self, coder: Coder, spelled: pa.Array, known: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Bits of each text, given as tokens."""
-        symbols, begins = coder.symbols(flat, known, starts)
+        symbols, begins = coder.symbols(spelled, known, starts)
         costs = np.zeros(len(symbols))
         for mixer, places, contexts in self._trees(coder, symbols, begins):
-            first = which = np.arange(len(places))
-            if mixer.given:
-                # A word costs the same wherever it stands in the same contexts.
-                key = symbols[places].astype(np.uint64)
-                for context in contexts:
-                    key = (key * MIX[0]) ^ context
-                _, first, which = np.unique(key, return_index=True, return_inverse=True)
+            # A symbol costs the same wherever it stands in the same contexts.
+            mine = symbols[places]
+            key = mine.astype(np.uint64)
+            for context in contexts:
+                key = (key * MIX[0]) ^ context
+            merged = pa.array(key).dictionary_encode()
+            which = merged.indices.to_numpy()
+            first = np.empty(len(merged.dictionary), np.int64)
+            first[which[::-1]] = np.arange(len(which))[::-1]
             each = [np.zeros(0)]
             for i in range(0, len(first), SYMBOLS):
                 part = first[i : i + SYMBOLS]
-                each.append(mixer.bits(coder, symbols[places[part]], [context[part] for context in contexts]))
+                each.append(mixer.bits(coder, mine[part], [context[part] for context in contexts]))
             costs[places] = np.concatenate(each)[which]
         return np.add.reduceat(costs, begins) if len(begins) else np.zeros(0)
 
-    def text_bits(self, coder: Coder, texts: list[list[bytes]]) -> np.ndarray:
+    def text_bits(self, coder: Coder, texts: pa.ListArray | list[list[bytes]]) -> np.ndarray:
         return self.token_bits(coder, *coder.tokens(texts))
 
 
-def grouped(column: pa.Array) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """Texts of a batch as words, about ``AT_ONCE`` characters at a time, with the first text's place."""
-    held, size, first = [], 0, 0
-    for i, scalar in enumerate(column):
-        text = scalar.as_py()
-        held.append(words_of(text))
-        size += len(text)
-        if size >= AT_ONCE:
-            yield first, held
-            held, size, first = [], 0, i + 1
-    if held:
-        yield first, held
-
-
-def binaries(values: list[bytes]) -> pa.Array:
-    ends = np.cumsum(np.fromiter(map(len, values), np.int32, len(values)), dtype=np.int32)
-    offsets = pa.py_buffer(np.append(np.int32(0), ends).astype(np.int32))
-    return pa.Array.from_buffers(pa.binary(), len(values), [None, offsets, pa.py_buffer(b"".join(values))])
+def grouped(column: pa.Array, coder: Coder | None = None) -> Iterator[tuple[int, pa.ListArray, pa.Array | None]]:
+    """Texts of a batch as lists of lower-cased (A-Z) words, about ``AT_ONCE`` characters at a time, with the
+    first text's place and, given a coder, the words looked up there, for ``TOGETHER`` groups at a time."""
+    bounds, size = [0], 0
+    sizes = pc.utf8_length(column).to_pylist()
+    for i, characters in enumerate(sizes, 1):
+        size += characters
+        if size >= AT_ONCE or i == len(sizes):
+            bounds.append(i)
+            size = 0
+    for k in range(0, len(bounds) - 1, TOGETHER):
+        some = bounds[k : k + TOGETHER + 1]
+        texts = split(column.slice(some[0], some[-1] - some[0]))
+        found = coder.look_up(texts.values) if coder else None
+        ends = texts.offsets.to_numpy()
+        for first, last in zip(some, some[1:]):
+            low, high = first - some[0], last - some[0]
+            words = found.slice(ends[low], ends[high] - ends[low]) if coder else None
+            yield first, texts.slice(low, high - low), words
+
+
+def split(texts: pa.Array) -> pa.ListArray:
+    """Each text's words. Arrow knows as white space, as ``bytes.split`` does, exactly the six ASCII characters."""
+    pieces = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    words, ends = pieces.flatten(), np.r_[0, np.cumsum(pieces.value_lengths().to_numpy(zero_copy_only=False))]
+    real = pc.not_equal(pc.binary_length(words), 0)  # white space at an edge leaves an empty piece
+    if real.false_count:
+        before = np.r_[0, np.cumsum(real.to_numpy(zero_copy_only=False))]
+        words, ends = words.filter(real), before[ends]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.cast(pa.binary()))
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """``word`` (lower-cased UTF-8) and ``n`` over a text column; each task adds up first."""
 
-    def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            words = pa.array(list(held.keys()), pa.binary())
-            return pa.record_batch([words, pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+    def added_up(held: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(held)
+        return found.group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
 
+    def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for part in parts:
-            for _, group in grouped(part.column("text")):
-                for words in group:
-                    held.update(words)
-                if len(held) >= HELD:
-                    yield flush()
-                    held.clear()
+            for _, group, _ in grouped(part.column("text")):
+                words, n = group.flatten().value_counts().flatten()
+                held.append(pa.table([words, n], names=["word", "n"]))
+                rows += len(words)
+                if rows >= HELD:
+                    held = [added_up(held)]
+                    rows = len(held[0])
+                if rows >= HELD // 2 and len(held) == 1:
+                    yield from held[0].to_batches()
+                    held, rows = [], 0
         if held:
-            yield flush()
+            yield from added_up(held).to_batches()
 
     return texts.select("text").mapInArrow(task, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -401,9 +498,9 @@ def learn(texts: DataFrame, coder: Coder, slots: int) -> Model:
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, model = sent.value, None
         for part in parts:
-            for _, group in grouped(part.column("text")):
+            for _, group, found in grouped(part.column("text"), coder):
                 model = model or Model(coder, slots)
-                model.learn(coder, group)
+                model.learn(coder, group, found)
         for i, mixer in enumerate(model.mixers if model else ()):
             for kind, table in list(enumerate(mixer.tables))[mixer.given :]:
                 for block in range(0, len(table), 2 * BLOCK):
@@ -452,6 +549,7 @@ def learn(texts: DataFrame, coder: Coder, slots: int) -> Model:
     for mixer in empty.mixers:
         mixer.tables, mixer.alone = [], np.zeros(0)  # scoring reads the codes alone
         mixer.refine()
+        mixer.weigh()
     return empty
 
 
@@ -509,27 +607,29 @@ def score(
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, model, seen = sent.value
+        base_logs = np.log10(seen + 1) - base
         row = TaskContext.get().partitionId() << 40
         for part in parts:
             ids, held = part.column("id"), part.column("held_out")
-            for first, group in grouped(part.column("text")):
+            for first, group, found in grouped(part.column("text"), coder):
                 size = len(group)
-                flat, known, starts = coder.tokens(group)
+                spelled, known, starts = coder.tokens(group, found)
                 count = np.where(known < 0, 0, seen[known])
-                logs = np.where(known < 0, 0, np.log10(count + 1) - base)
-                rare = list(compress(flat, (known < 0).tolist()))
-                begins = np.append(np.searchsorted(np.flatnonzero(known < 0), starts), len(rare)).astype(np.int32)
+                logs = np.where(known < 0, 0, base_logs[known])
+                words = group.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                letters = np.r_[0, np.cumsum(letters_of(group.flatten())[1])][np.r_[0, np.cumsum(words)]]
+                begins = np.append(np.searchsorted(np.flatnonzero(known < 0), starts), len(spelled)).astype(np.int32)
                 yield pa.record_batch(
                     [
                         pa.array(np.arange(row, row + size)),
                         ids.slice(first, size),
                         held.slice(first, size),
-                        pa.array([len(text) + 1 for text in group], pa.int64()),
+                        pa.array(words + 1),
                         pa.array(np.add.reduceat((count > 0).astype(np.int64), starts)),
                         pa.array(np.add.reduceat(logs, starts)),
-                        pa.array(model.token_bits(coder, flat, known, starts)),
-                        pa.array([sum(map(len, text)) + len(text) + 1 for text in group], pa.int64()),
-                        pa.ListArray.from_arrays(begins, binaries(rare)),
+                        pa.array(model.token_bits(coder, spelled, known, starts)),
+                        pa.array(np.diff(letters) + words + 1),
+                        pa.ListArray.from_arrays(pa.array(begins), spelled),
                     ],
                     names=["row", "id", "held_out", "n_tokens", "known", "logs", "bits", "bytes", "rare"],
                 )

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -164,6 +165,66 @@ def test_scores_hardly_depend_on_partitions(spark):
     assert totals[1] == pytest.approx(totals[0], rel=0.02)
 
 
+def test_spelled_bytes_in_equal_contexts_are_scored_once(monkeypatch):
+    coder, model = learned_model(prose(50))
+    texts, scored = [[b"unheard"] * 20] * 50, []
+    want = np.concatenate([model.text_bits(coder, [text]) for text in texts])
+    bits = language_model.Mixer.bits
+
+    def counted(mixer, coder, symbols, contexts):
+        scored.append((mixer.given, len(symbols)))
+        return bits(mixer, coder, symbols, contexts)
+
+    monkeypatch.setattr(language_model.Mixer, "bits", counted)
+    assert model.text_bits(coder, texts) == pytest.approx(want, rel=1e-6)
+    # Seven letters and the stop: after a text's start, and after the word itself.
+    assert sum(n for given, n in scored if not given) < 2 * 8 + 1
+
+
+def test_learning_sums_are_those_of_single_decisions():
+    coder, model = learned_model(prose(50) + [[b"unheard", b"alone"]] * 5)
+    symbols, starts = coder.symbols(*coder.tokens(prose(20, seed=3) + [[b"fresh", b"unheard"]]))
+    for mixer, places, contexts in model._trees(coder, symbols, starts):
+        bit, at = mixer.decisions(coder, symbols[places], contexts)
+        chance = mixer.chances(at)[0].astype(float)
+        codes = [code[place] for code, place in zip(mixer.codes, at, strict=True)]
+        gate = sum((code >> 8).astype(int) * 4**i for i, code in enumerate(reversed(codes[1:])))
+        weights, evidence = mixer.weights.astype(float), mixer.evidence.copy()
+        counts = [table.astype(int) for table in mixer.tables]
+        for row in range(len(weights)):
+            x = language_model.STRETCHED[codes[row] & 255].astype(float) if row < len(codes) else np.ones(len(bit))
+            np.add.at(evidence[row], gate, chance * (1 - chance) * x * x)
+            step = np.zeros(mixer.gates)
+            np.add.at(step, gate, (bit - chance) * x)
+            weights[row] += language_model.PACE * step / evidence[row]
+        for count, place in list(zip(counts, at, strict=True))[mixer.given :]:
+            np.add.at(count, 2 * place + bit, 1)
+        mixer.learn(coder, symbols[places], contexts)
+        assert mixer.evidence == pytest.approx(evidence, rel=1e-5)
+        assert mixer.weights == pytest.approx(weights, abs=1e-5)
+        assert all((table == count).all() for table, count in zip(mixer.tables, counts, strict=True))
+
+
+def test_split_texts_and_groups_are_those_of_plain_python(monkeypatch):
+    texts = ["", " ", "A b", "\x0bA\x0c\t\rZ \n", "É\u00a0ß\u2003x\x1cy\x85z", "tail ", " head", "Aa " * 50, "İ"]
+    want = [text.encode().lower().split() for text in texts]
+    monkeypatch.setattr(language_model, "AT_ONCE", 9)
+    monkeypatch.setattr(language_model, "TOGETHER", 2)
+    column = pa.array(["not read", *texts]).slice(1)
+    coder = language_model.Coder([b"a", b"aa"], [3, 2], 5, len(texts))
+    found, size = [], 0
+    for first, group, words in language_model.grouped(column, coder):
+        assert first == len(found)
+        found += group.to_pylist()
+        flat = [word for text in group.to_pylist() for word in text]
+        assert words.to_pylist() == [coder.words.index(word) if word in coder.words else None for word in flat]
+        spelled, known, _ = coder.tokens(group, words)
+        assert spelled.to_pylist() == [word for word in flat if word not in coder.words]
+        assert len(known) == len(flat) + len(group)
+        size += 1
+    assert found == want and size > 2
+
+
 def test_bits_are_independent_of_blocks(monkeypatch):
     texts = prose(50) + [[], [b"unheard", b"\xff" * 30]]
     coder, model = learned_model(texts)
